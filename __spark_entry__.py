@@ -21,6 +21,7 @@ from borelog.sources.episodes import normalise_episodes
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files
 from borelog.sources.tags import tags_long
 from borelog.sources.trees import read_tree
+from borelog.support import materialise
 from oracles import ORACLES
 
 
@@ -40,8 +41,9 @@ def _rule_scores():
     return {0: 1 / (1 + pressure), 3: double_pressure / 1000, 8: pressure / 1000, 101: gas / 1000}
 
 
-def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def _single(df: DataFrame, *columns: str) -> DataFrame:
+    """Single-precision values: the order in which an engine adds up doubles does not show in them."""
+    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
 
 
 def _sql(statement: str, with_model: bool = False, scan_cap: int | None = 1000):
@@ -55,28 +57,24 @@ def _sql(statement: str, with_model: bool = False, scan_cap: int | None = 1000):
     return run
 
 
-def _model(spark, sf_dir):
-    rows = splitting.stratified_split(forward_fill(_clean(spark, sf_dir)))
-    return training.train_state_model(rows.where("NOT is_test"), num_trees=10)
+def _split_table(spark, sf_dir):
+    """The filled observations, written once as a training job would find them, with their split."""
+    return splitting.stratified_split(materialise(forward_fill(_clean(spark, sf_dir))))
 
 
-def _model_quality(spark, sf_dir):
-    rows = splitting.stratified_split(forward_fill(_clean(spark, sf_dir)))
-    model = training.train_state_model(rows.where("NOT is_test"), num_trees=10)
-    scored = training.apply_model(model, rows.where("is_test"))
-    return metrics.class_report(scored)
+def _model(spark, sf_dir):
+    return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"), num_trees=10)
 
 
-def _model_auc(spark, sf_dir):
-    rows = splitting.stratified_split(forward_fill(_clean(spark, sf_dir)))
+def _held_out(spark, sf_dir):
+    rows = _split_table(spark, sf_dir)
     model = training.train_state_model(rows.where("NOT is_test"), num_trees=10)
-    scored = training.apply_model(model, rows.where("is_test"))
-    return metrics.weighted_ovr_auc(scored, training.class_scores(model))
+    return training.apply_model(model, rows.where("is_test")), training.class_scores(model)
 
 
-def _features(spark, sf_dir):
-    table = features.series_features(_clean(spark, sf_dir))
-    return _rounded(table, *[c for c, kind in table.dtypes if kind == "double"])
+def _features(spark, sf_dir, **options):
+    table = features.series_features(_clean(spark, sf_dir), **options)
+    return _single(table, *[c for c, kind in table.dtypes if kind == "double"])
 
 
 def _manifest(spark, sf_dir, max_dirs=None, max_files=None):
@@ -162,11 +160,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_by_time": lambda s, d: splitting.split_by_time(_clean(s, d), "2024-01-25 00:00:00"),
         "split_classes": lambda s, d: splitting.split_classes(splitting.stratified_split(_clean(s, d))),
         "series_features": _features,
+        "series_features_bracketed": lambda s, d: _features(s, d, max_series_rows=20),
         "confusion_counts": lambda s, d: metrics.confusion_counts(_scored(s, d)),
         "accuracy": lambda s, d: metrics.accuracy(_scored(s, d)),
-        "class_report": lambda s, d: _rounded(metrics.class_report(_scored(s, d)), "precision", "recall", "f1_score"),
-        "ovr_auc": lambda s, d: _rounded(metrics.ovr_auc(_scored(s, d), _rule_scores()), "auc"),
-        "weighted_ovr_auc": lambda s, d: _rounded(
+        "class_report": lambda s, d: _single(metrics.class_report(_scored(s, d)), "precision", "recall", "f1_score"),
+        "ovr_auc": lambda s, d: _single(metrics.ovr_auc(_scored(s, d), _rule_scores()), "auc"),
+        "ovr_auc_sliced": lambda s, d: _single(metrics.ovr_auc(_scored(s, d), _rule_scores(), slice_rows=500), "auc"),
+        "weighted_ovr_auc": lambda s, d: _single(
             metrics.weighted_ovr_auc(_scored(s, d), _rule_scores()), "weighted_auc"
         ),
         "tools_called": lambda s, d: traces.tools_called(event_view.traces_from_conversations(s, d)).drop("spans"),
@@ -184,8 +184,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "predict_state": lambda s, d: training.predict_state(_model(s, d), _clean(s, d)),
         "sql_predict_state": _sql("SELECT * FROM predict_state()", with_model=True),
         "feature_importance": lambda s, d: training.feature_importance(_model(s, d), _clean(s, d)),
-        "model_report": _model_quality,
-        "model_auc": _model_auc,
+        "model_report": lambda s, d: metrics.class_report(_held_out(s, d)[0]),
+        "model_auc": lambda s, d: metrics.weighted_ovr_auc(*_held_out(s, d)),
     }
 
 

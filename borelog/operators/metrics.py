@@ -1,10 +1,11 @@
 """Quality of a classifier, from counts that Spark takes where the rows are."""
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from borelog.operators.filling import cut_index
+from borelog.operators.filling import MAX_SLICES, cut_index
 
 # Labels of the report rows.
 CLASS_PREFIX = "State_"
@@ -30,12 +31,11 @@ def class_report(scored: DataFrame, label: str = "state", prediction: str = "pre
 
     A ratio without a denominator is 0. The accuracy row holds its value in ``f1_score``.
     """
-    n = F.col("n")
-    hits = F.when(F.col("label").eqNullSafe(F.col("prediction")), n).otherwise(F.lit(0))
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hits = F.when(F.col("label").eqNullSafe(F.col("prediction")), n).otherwise(none)
     both_roles = F.inline(F.array(
-        F.struct(F.col("label").alias("class"), n.alias("support"), F.lit(0).cast("bigint").alias("predicted"),
-                 hits.alias("hits")),
-        F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint"), n, F.lit(0).cast("bigint")),
+        _role(F.col("label"), support=n, predicted=none, hits=hits),
+        _role(F.col("prediction"), support=none, predicted=n, hits=none),
     ))
     classes = (
         confusion_counts(scored, label, prediction)
@@ -71,6 +71,12 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, F.lit(0.0)).otherwise(part / whole)
 
 
+def _role(state: Column, support: Column, predicted: Column, hits: Column) -> Column:
+    return F.struct(
+        state.alias("class"), support.alias("support"), predicted.alias("predicted"), hits.alias("hits")
+    )
+
+
 def _row(name: Column, values) -> Column:
     precision, recall, f1_score = values
     return F.struct(
@@ -80,13 +86,14 @@ def _row(name: Column, values) -> Column:
 
 
 def ovr_auc(
-    scored: DataFrame, scores: Mapping[int, Column | str], label: str = "state", n_slices: int = 1024
+    scored: DataFrame, scores: Mapping[int, Column | str], label: str = "state", slice_rows: int = 1_000_000
 ) -> DataFrame:
     """Exact one-vs-rest ROC-AUC of every class in ``scores`` (class -> its score column), with class counts.
 
-    The AUC is the share of (positive, negative) pairs in the right order, ties counting half. Per class the score
-    range is cut at approximate quantiles; pairs within a slice are counted inside it, pairs across slices from the
-    slice totals. So the work of one class spreads over ``n_slices`` tasks, and where the cuts fall does not matter.
+    The AUC is the share of (positive, negative) pairs in the right order, ties counting half. Rows with equal scores
+    are counted together first. Beyond ``slice_rows`` rows the score range of a class is cut at approximate quantiles;
+    pairs within a slice are counted inside it, pairs across slices from the slice totals, so the work spreads over
+    tasks and where exactly the cuts fall does not matter.
     """
     per_class = F.inline(F.array(*[
         F.struct(
@@ -97,21 +104,15 @@ def ovr_auc(
         for c, s in scores.items()
     ]))
     long = scored.select(per_class)
-    quantiles = [k / n_slices for k in range(1, n_slices)]
-    cuts = long.groupBy(F.col("class").alias("cut_class")).agg(
-        F.percentile_approx("score", quantiles, 10 * n_slices).alias("cuts")
-    )
-    # One row per entry of ``scores``, so the broadcast side is bounded by the call itself.
-    sliced = long.join(F.broadcast(cuts), F.col("class") == F.col("cut_class"), "left").select(
-        "class", "score", "is_positive", cut_index(F.col("cuts"), lambda cut: cut < F.col("score")).alias("slice")
-    )
     count_if = lambda condition: F.count(F.when(condition, 1)).cast("double")
-    by_score = sliced.groupBy("class", "slice", "score").agg(
+    by_score = long.groupBy("class", "score").agg(
         count_if(F.col("is_positive")).alias("positives"), count_if(~F.col("is_positive")).alias("negatives")
     )
-    in_slice = Window.partitionBy("class", "slice").orderBy("score")
-    pairs = F.col("positives") * (F.sum("negatives").over(in_slice) - F.col("negatives") / 2)
-    by_slice = by_score.withColumn("pairs", pairs).groupBy("class", "slice").agg(
+    n_slices = min(MAX_SLICES, math.ceil(scored.count() / slice_rows))
+    in_slice = by_score.withColumn("slice", F.lit(0)) if n_slices < 2 else _sliced(by_score, long, n_slices)
+    upto = F.sum("negatives").over(Window.partitionBy("class", "slice").orderBy("score"))
+    pairs = F.col("positives") * (upto - F.col("negatives") / 2)
+    by_slice = in_slice.withColumn("pairs", pairs).groupBy("class", "slice").agg(
         *[F.sum(c).alias(c) for c in ("positives", "negatives", "pairs")]
     )
     earlier = F.sum("negatives").over(Window.partitionBy("class").orderBy("slice")) - F.col("negatives")
@@ -127,11 +128,21 @@ def ovr_auc(
     )
 
 
+def _sliced(by_score: DataFrame, long: DataFrame, n_slices: int) -> DataFrame:
+    quantiles = [k / n_slices for k in range(1, n_slices)]
+    cuts = long.groupBy(F.col("class").alias("cut_class")).agg(
+        F.percentile_approx("score", quantiles, 10 * n_slices).alias("cuts")
+    )
+    # One row of at most MAX_SLICES numbers per scored class: the call itself bounds the broadcast side.
+    found = by_score.join(F.broadcast(cuts), F.col("class") == F.col("cut_class"), "left")
+    return found.select(*by_score.columns, cut_index(F.col("cuts"), lambda cut: cut < F.col("score")).alias("slice"))
+
+
 def weighted_ovr_auc(
-    scored: DataFrame, scores: Mapping[int, Column | str], label: str = "state", n_slices: int = 1024
+    scored: DataFrame, scores: Mapping[int, Column | str], label: str = "state", slice_rows: int = 1_000_000
 ) -> DataFrame:
     """One row: the class AUCs weighted by class size; NULL and a message if a class lacks positives or negatives."""
-    by_class = ovr_auc(scored, scores, label, n_slices)
+    by_class = ovr_auc(scored, scores, label, slice_rows)
     complete = (F.count("auc") == len(scores)) & F.lit(len(scores) > 1)
     weighted = F.sum(F.col("auc") * F.col("positives")) / F.sum("positives")
     return by_class.agg(

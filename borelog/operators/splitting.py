@@ -1,5 +1,6 @@
 """Exact stratified split without sorting or shuffling the rows."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -7,8 +8,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from borelog.operators.ordering import seeded_key
 from borelog.support import small_side
 
-# Leading hex digits of the hash that number the strips of a stratum: 16 ** 4 of them, whatever its size.
-STRIP_DIGITS = 4
+# About how many rows one strip of the hash range may hold, and the most hex digits of the hash that number strips.
+STRIP_ROWS = 100_000
+MAX_DIGITS = 5
 
 
 def stratified_split(
@@ -26,7 +28,8 @@ def stratified_split(
     into test; if keys repeat, the test part is the smallest such set that reaches its target.
     """
     hashed = rows.withColumn("_key", seeded_key(keys, seed))
-    stripped = hashed.select(F.col(label).alias("_label"), "_key", F.substring("_key", 1, STRIP_DIGITS).alias("_strip"))
+    digits = min(MAX_DIGITS, math.ceil(math.log(max(1.0, rows.count() / STRIP_ROWS), 16)))
+    stripped = hashed.select(F.col(label).alias("_label"), "_key", F.substring("_key", 1, digits).alias("_strip"))
 
     stratum = Window.partitionBy("_label")
     strips = stripped.groupBy("_label", "_strip").agg(F.count("*").alias("_n"))

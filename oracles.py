@@ -1,4 +1,7 @@
-"""DuckDB statements with the same result as the registered queries, over the same tables."""
+"""DuckDB statements with the same result as the registered queries, over the same tables.
+
+Means, ratios and the like are compared in single precision, where the order of summation does not show.
+"""
 
 EPISODES = r"""
 WITH episodes AS (
@@ -285,24 +288,24 @@ ORACLES = {
         SELECT is_test, count(*) AS n_rows, count(DISTINCT state) AS n_classes FROM split GROUP BY is_test""",
     "series_features": OBSERVATIONS + f""",
         long AS ({_unpivot(MODEL_TAGS, 'well_number')})
-        SELECT well_number, tag, round(sum(value), 6) AS sum_values, round(median(value), 6) AS median,
-            round(avg(value), 6) AS mean, count(value) AS length, round(stddev_pop(value), 6) AS standard_deviation,
-            round(var_pop(value), 6) AS variance, round(sqrt(avg(value * value)), 6) AS root_mean_square,
-            round(max(value), 6) AS maximum, round(max(abs(value)), 6) AS absolute_maximum,
-            round(min(value), 6) AS minimum
+        SELECT well_number, tag, CAST(CAST(sum(value) AS FLOAT) AS DOUBLE) AS sum_values, CAST(CAST(median(value) AS FLOAT) AS DOUBLE) AS median,
+            CAST(CAST(avg(value) AS FLOAT) AS DOUBLE) AS mean, count(value) AS length, CAST(CAST(stddev_pop(value) AS FLOAT) AS DOUBLE) AS standard_deviation,
+            CAST(CAST(var_pop(value) AS FLOAT) AS DOUBLE) AS variance, CAST(CAST(sqrt(avg(value * value)) AS FLOAT) AS DOUBLE) AS root_mean_square,
+            CAST(CAST(max(value) AS FLOAT) AS DOUBLE) AS maximum, CAST(CAST(max(abs(value)) AS FLOAT) AS DOUBLE) AS absolute_maximum,
+            CAST(CAST(min(value) AS FLOAT) AS DOUBLE) AS minimum
         FROM long GROUP BY well_number, tag""",
     "confusion_counts": OBSERVATIONS + "," + SCORED + """
         SELECT label, prediction, count(*) AS n FROM scored GROUP BY label, prediction""",
     "accuracy": OBSERVATIONS + "," + SCORED + """
         SELECT count(*) FILTER (WHERE label = prediction) / CAST(count(*) AS DOUBLE) AS accuracy FROM scored""",
     "class_report": OBSERVATIONS + "," + SCORED + "," + REPORT + """
-        SELECT class_name, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1_score,
+        SELECT class_name, CAST(CAST(p AS FLOAT) AS DOUBLE) AS precision, CAST(CAST(r AS FLOAT) AS DOUBLE) AS recall, CAST(CAST(f AS FLOAT) AS DOUBLE) AS f1_score,
             CAST(support AS BIGINT) AS support
         FROM report""",
     "ovr_auc": OBSERVATIONS + "," + SCORED + "," + AUC + """
-        SELECT class, CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives, round(auc, 6) AS auc FROM aucs""",
+        SELECT class, CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives, CAST(CAST(auc AS FLOAT) AS DOUBLE) AS auc FROM aucs""",
     "weighted_ovr_auc": OBSERVATIONS + "," + SCORED + "," + AUC + """
-        SELECT round(sum(auc * p) / sum(p), 6) AS weighted_auc, CAST(NULL AS VARCHAR) AS message FROM aucs""",
+        SELECT CAST(CAST(sum(auc * p) / sum(p) AS FLOAT) AS DOUBLE) AS weighted_auc, CAST(NULL AS VARCHAR) AS message FROM aucs""",
     "tools_called": TRACES + f"""
         SELECT run_id, trace_id, num_tool_calls, {VERDICT}
         FROM (SELECT *, CAST(calls AS INTEGER) AS num_tool_calls FROM traces)""",
@@ -319,3 +322,5 @@ ORACLES = {
     "json_props": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
 }
+ORACLES["series_features_bracketed"] = ORACLES["series_features"]
+ORACLES["ovr_auc_sliced"] = ORACLES["ovr_auc"]
