@@ -23,7 +23,7 @@ def confusion_counts(scored: DataFrame, label: str = "state", prediction: str =
 def accuracy(scored: DataFrame, label: str = "state", prediction: str = "prediction") -> DataFrame:
     """One row: the share of rows whose prediction equals the label."""
     hit = F.col(label).eqNullSafe(F.col(prediction)).cast("bigint")
-    return scored.agg((F.sum(hit) / F.count("*")).alias("accuracy"))
+    return scored.agg(F.try_divide(F.sum(hit), F.count("*")).alias("accuracy"))
 
 
 def class_report(scored: DataFrame, label: str = "state", prediction: str = "prediction") -> DataFrame:
@@ -52,9 +52,9 @@ def class_report(scored: DataFrame, label: str = "state", prediction: str = "pre
     support = F.sum("support")
     with_total = classes.rollup("class").agg(
         support.alias("support"),
-        (F.sum("hits") / support).alias("share"),
+        F.try_divide(F.sum("hits"), support).alias("share"),
         *[F.avg(s).alias(f"macro_{s}") for s in scores],
-        *[(F.sum(F.col(s) * F.col("support")) / support).alias(f"weighted_{s}") for s in scores],
+        *[F.try_divide(F.sum(F.col(s) * F.col("support")), support).alias(f"weighted_{s}") for s in scores],
         F.grouping("class").alias("is_total"),
     )
     nothing = F.lit(None).cast("double")
@@ -144,7 +144,7 @@ def weighted_ovr_auc(
     """One row: the class AUCs weighted by class size; NULL and a message if a class lacks positives or negatives."""
     by_class = ovr_auc(scored, scores, label, slice_rows)
     complete = (F.count("auc") == len(scores)) & F.lit(len(scores) > 1)
-    weighted = F.sum(F.col("auc") * F.col("positives")) / F.sum("positives")
+    weighted = F.try_divide(F.sum(F.col("auc") * F.col("positives")), F.sum("positives"))
     return by_class.agg(
         F.when(complete, weighted).alias("weighted_auc"),
         F.when(~complete, F.lit("not calculated: every class needs rows in and out of it")).alias("message"),

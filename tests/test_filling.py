@@ -1,0 +1,120 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from borelog.operators.cleaning import clean
+from borelog.operators.filling import add_slice, cut_index, forward_fill
+
+SCHEMA = "well_number int, timestamp timestamp, a double, b string, source_file string"
+
+
+def plain_fill(rows, width):
+    """Forward fill of sorted (key, values) rows, in plain Python."""
+    last, filled = {}, []
+    for key, *values in rows:
+        state = last.setdefault(key, [None] * width)
+        for i, v in enumerate(values):
+            if v is not None:
+                state[i] = v
+        filled.append((key, *state))
+    return filled
+
+
+def test_fill_carries_over_files_and_keeps_leading_nulls_and_nan(episode_rows):
+    rows = forward_fill(clean(episode_rows)).where("well_number = 19").orderBy("timestamp").collect()
+    assert [r["P-PDG"] for r in rows] == [None, 5.0, 5.0]
+    assert rows[0]["QGL"] == 1.0 and math.isnan(rows[1]["QGL"]) and math.isnan(rows[2]["QGL"])
+
+
+def test_fill_by_file_stops_at_the_border(episode_rows):
+    rows = forward_fill(clean(episode_rows), ("well_number", "source_file"))
+    assert [r["P-PDG"] for r in rows.where("well_number = 19").orderBy("timestamp").collect()] == [None, 5.0, None]
+
+
+def test_rows_without_a_well_form_one_series(episode_rows):
+    rows = forward_fill(clean(episode_rows)).where("well_number IS NULL").orderBy("timestamp").collect()
+    assert [(r["P-PDG"], r["QGL"]) for r in rows] == [(2.0, None), (2.0, 6.0)]
+    cut = forward_fill(clean(episode_rows), max_chunk_rows=1).where("well_number IS NULL").orderBy("timestamp").collect()
+    assert [(r["P-PDG"], r["QGL"]) for r in cut] == [(2.0, None), (2.0, 6.0)]
+
+
+@pytest.mark.parametrize("max_chunk_rows", [1_000_000, 1])
+def test_fill_stops_after_a_long_gap(spark, at, max_chunk_rows):
+    rows = spark.createDataFrame(
+        [(1, at(s), v, None, "f") for s, v in [(0, 1.0), (3600, None), (7300, None), (200_000, None), (200_001, 2.0)]], SCHEMA
+    )
+    filled = forward_fill(rows, max_gap="2 hours", max_chunk_rows=max_chunk_rows).orderBy("timestamp").collect()
+    assert [r.a for r in filled] == [1.0, 1.0, None, None, 2.0]
+
+
+def test_equal_times_are_ordered_by_file(spark, at):
+    rows = spark.createDataFrame(
+        [(1, at(0), None, None, "b"), (1, at(0), 4.0, None, "a"), (1, at(0), None, "x", "c")], SCHEMA
+    )
+    for max_chunk_rows in (1_000_000, 1):
+        filled = forward_fill(rows, max_chunk_rows=max_chunk_rows).orderBy("source_file").collect()
+        assert [(r.a, r.b) for r in filled] == [(4.0, None), (4.0, None), (4.0, "x")]
+
+
+def test_fill_is_idempotent(episode_rows):
+    once = forward_fill(clean(episode_rows))
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, forward_fill(once).collect()))
+
+
+def random_series(seed, n, days=40, tied_at_start=0.0):
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        well = draw.choice([None, 1, 1, 1, 2])
+        second = 0 if draw.random() < tied_at_start else draw.randrange(days * 86400)
+        a = draw.random() if draw.random() < 0.1 else None
+        b = str(draw.randrange(9)) if draw.random() < 0.02 else None
+        rows.append((well, second, a, b, f"file{draw.randrange(20):02d}-{i:06d}"))
+    return rows
+
+
+@pytest.mark.parametrize("tied_at_start", [0.0, 0.6])
+@pytest.mark.parametrize("max_chunk_rows", [10_000_000, 500, 7])
+def test_every_plan_equals_plain_python(spark, at, tied_at_start, max_chunk_rows):
+    """Long series are cut into days, and a day or moment that holds most rows is cut further."""
+    rows = random_series(3, 4000, tied_at_start=tied_at_start)
+    frame = spark.createDataFrame([(w, at(s), a, b, f) for w, s, a, b, f in rows], SCHEMA).repartition(16)
+    found = forward_fill(frame, fill_cols=["a", "b"], max_chunk_rows=max_chunk_rows).collect()
+    ordered = sorted(rows, key=lambda r: (r[1], r[4]))
+    expected = plain_fill([(w, a, b) for w, _, a, b, _ in ordered], 2)
+    wanted = {f: values[1:] for values, (*_, f) in zip(expected, ordered)}
+    assert len(found) == len(rows)
+    assert {r.source_file: (r.a, r.b) for r in found} == wanted
+
+
+def test_copies_that_make_up_most_of_a_series(spark, at):
+    """Equal rows are dealt out over slices of their own; neither they nor the rows after them change."""
+    rows = [(1, at(s), float(s), None, "f") for s in range(50)]
+    rows += [(1, at(100), None, "copy", "f")] * 3000
+    rows += [(1, at(200 + s), None, None, "f") for s in range(50)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    found = forward_fill(frame, fill_cols=["a", "b"], max_chunk_rows=100)
+    counts = {(r.a, r.b): r["count"] for r in found.where(F.col("timestamp") >= at(100)).groupBy("a", "b").count().collect()}
+    assert counts == {(49.0, "copy"): 3050}
+    sliced = add_slice(frame.withColumn("day", F.to_date("timestamp")), ["well_number", "day"], ["timestamp"], 100)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 3100 and max(sizes) < 600
+
+
+def test_slices_follow_the_order(spark):
+    frame = spark.range(5000).selectExpr("id % 2 AS g", "CAST(rand(1) * 300 AS INT) AS k", "id")
+    sliced = add_slice(frame, ["g"], ["k", "id"], 200)
+    ranges = sliced.groupBy("g", "_slice").agg(F.min(F.struct("k", "id")).alias("low"), F.max(F.struct("k", "id")).alias("high"))
+    for g in (0, 1):
+        slices = ranges.where(f"g = {g}").orderBy("_slice").collect()
+        assert len(slices) > 5
+        assert all(a.high < b.low for a, b in zip(slices, slices[1:]))
+
+
+def test_cut_index_counts_smaller_cuts(spark):
+    for n in (0, 1, 2, 7, 63, 4095):
+        cuts = F.array(*[]).cast("array<int>") if n == 0 else F.sequence(F.lit(1), F.lit(n))
+        rows = spark.range(0, n + 2).select("id", cut_index(cuts, lambda cut: cut < F.col("id")).alias("i"))
+        assert all(r.i == min(max(r.id - 1, 0), n) for r in rows.collect())
