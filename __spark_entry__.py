@@ -145,6 +145,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_n_obs_uncapped": lambda s, d: newest.latest_n_obs(_clean(s, d), scan_cap=None),
         "latest_n_obs_one_well": lambda s, d: newest.latest_n_obs(_clean(s, d), well=19, n=10),
         "latest_filled": lambda s, d: newest.latest_n_obs(forward_fill(_clean(s, d)), scan_cap=None),
+        "latest_n_obs_pruned": lambda s, d: newest.latest_n_obs(_clean(s, d), scan_cap=None, prune_days=True),
+        "most_recent_obs_pruned": lambda s, d: newest.most_recent_obs(_clean(s, d), prune_days=True),
         "most_recent_obs": lambda s, d: newest.most_recent_obs(_clean(s, d)),
         "sql_latest_n_obs": _sql("SELECT * FROM latest_n_obs()"),
         "sql_latest_n_obs_uncapped": _sql("SELECT * FROM latest_n_obs(n_obs_param => 3)", scan_cap=None),

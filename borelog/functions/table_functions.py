@@ -14,16 +14,20 @@ def register_functions(
     model_function: str | None = None,
     scan_cap: int | None = SCAN_CAP,
     temporary: bool = True,
+    schema: str | None = None,
 ) -> None:
     """Create ``state_name`` and the table functions that read the view or table ``observations``.
 
     ``latest_n_obs(well, n)``, ``most_recent_obs(well)``, ``well_time_bounds(well)``, ``well_failure_counts(well)``
     and, given the name of a function over the model features, ``predict_state(well, n)``. ``scan_cap`` is fixed at
-    creation, because SQL takes no parameter in LIMIT. Bodies are inlined into the calling query, so a constant well
+    creation, because SQL takes no parameter in LIMIT. Functions that are not ``temporary`` go into ``schema`` and need
+    a table and a model function that are permanent too; Spark calls table functions without a qualifier, so ``USE`` the
+    schema first. Bodies are inlined into the calling query, so a constant well
     number reaches the Parquet scan as a pushed filter and -1 leaves no filter behind.
     """
     types = {field.name: field.dataType.simpleString() for field in spark.table(observations).schema}
     create = f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}FUNCTION"
+    home = f"{schema}." if schema else ""
     well = f"well_number_param BIGINT DEFAULT -1 COMMENT '{WELL_COMMENT}'"
     chosen = f"{observations} WHERE well_number_param = -1 OR well_number = well_number_param"
     names = ", ".join(f"'{name}'" for name in STATE_NAMES)
@@ -34,10 +38,10 @@ def register_functions(
     def listing(listed):
         return ", ".join(f"`{c}`" for c in listed)
 
-    spark.sql(f"{create} state_name(code INT) RETURNS STRING RETURN get(array({names}), code)")
+    spark.sql(f"{create} {home}state_name(code INT) RETURNS STRING RETURN get(array({names}), code)")
     cap = "" if scan_cap is None else f"ORDER BY timestamp DESC, source_file LIMIT {scan_cap}"
     spark.sql(f"""
-        {create} latest_n_obs({well}, n_obs_param INT DEFAULT 5 COMMENT 'How many observations per well')
+        {create} {home}latest_n_obs({well}, n_obs_param INT DEFAULT 5 COMMENT 'How many observations per well')
         RETURNS TABLE ({columns(LATEST_COLUMNS)})
         COMMENT 'The newest n observations of a well, or of every well'
         RETURN
@@ -49,7 +53,7 @@ def register_functions(
         SELECT {listing(LATEST_COLUMNS)} FROM ranked WHERE nth <= n_obs_param
     """)
     spark.sql(f"""
-        {create} most_recent_obs({well}) RETURNS TABLE ({columns(RECENT_COLUMNS)})
+        {create} {home}most_recent_obs({well}) RETURNS TABLE ({columns(RECENT_COLUMNS)})
         COMMENT 'The newest observation of each state of a well, or of every well'
         RETURN
         WITH ranked AS (
@@ -59,13 +63,13 @@ def register_functions(
         SELECT {listing(RECENT_COLUMNS)} FROM ranked WHERE nth = 1
     """)
     spark.sql(f"""
-        {create} well_time_bounds({well})
+        {create} {home}well_time_bounds({well})
         RETURNS TABLE (well_number INT, min_timestamp {types['timestamp']}, max_timestamp {types['timestamp']})
         COMMENT 'First and last time seen of a well, or of every well'
         RETURN SELECT well_number, min(timestamp), max(timestamp) FROM {chosen} GROUP BY well_number
     """)
     spark.sql(f"""
-        {create} well_failure_counts({well})
+        {create} {home}well_failure_counts({well})
         RETURNS TABLE (well_number INT, failure_type STRING, failure_count BIGINT)
         COMMENT 'Observations per state of a well, or of every well'
         RETURN
@@ -74,7 +78,7 @@ def register_functions(
     """)
     if model_function is not None:
         spark.sql(f"""
-            {create} predict_state(
+            {create} {home}predict_state(
                 {well.replace('BIGINT', 'INT')}, n_obs_param INT DEFAULT 10 COMMENT 'How many observations per well'
             )
             RETURNS TABLE (well_number INT, timestamp {types['timestamp']}, prediction INT)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from borelog.operators.filling import oversized
 from borelog.schema import MODEL_TAGS
-from borelog.support import null_safe, small_side
+from borelog.support import same_keys, small_side
 
 
 def series_features(
@@ -46,20 +46,18 @@ def series_features(
     summary = small_side(summary)
     medians = _medians(long.where(value.isNotNull()), summary, keys)
     medians = medians.withColumnsRenamed({c: f"_{c}" for c in keys})
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return summary.join(medians, same, "left").select(
-        *[c for c in (*keys, "sum_values", "median", *summary.columns[len(keys) + 2:])]
+    return summary.join(medians, same_keys(keys, "_"), "left").select(
+        *keys, "sum_values", "median", *summary.columns[len(keys) + 2:]
     )
 
 
 def _medians(long: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     low, high = F.get("_bracket", F.lit(0)), F.get("_bracket", F.lit(1))
     side = F.when(F.col("value") < low, -1).when(F.col("value") > high, 1).otherwise(0)
+    brackets = summary.select(*[F.col(k).alias(f"_{k}") for k in keys], "_bracket")
     counted = (
-        long.join(summary, null_safe(long, summary, keys))
-        .select(*[long[k] for k in keys], side.alias("_side"), F.when(side == 0, F.col("value")).alias("_value"))
+        long.join(brackets, same_keys(keys, "_"))
+        .select(*keys, side.alias("_side"), F.when(side == 0, F.col("value")).alias("_value"))
         .groupBy(*keys, "_side", "_value")
         .agg(F.count("*").alias("_n"))
     )

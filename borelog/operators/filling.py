@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from borelog.support import BROADCAST_ROWS, materialise, null_safe, small_side
+from borelog.support import BROADCAST_ROWS, materialise, same_keys, small_side
 
 # Bounds on the cut points of an oversized chunk: how many it may get, and rows sampled per cut point.
 MAX_SLICES = 4096
@@ -104,9 +104,8 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     large = small_side(large.withColumn("_slices", slices).where("_slices > 1").withColumnsRenamed(
         {c: f"_large_{c}" for c in groups}
     ))
-    same_group = lambda side: _all(F.col(c).eqNullSafe(F.col(f"{side}_{c}")) for c in groups)
     key = F.struct(*order)
-    sampled = rows.join(large, same_group("_large")).where(
+    sampled = rows.join(large, same_keys(groups, "_large_")).where(
         F.rand(17) < F.col("_slices") * SAMPLES_PER_SLICE / F.col("_rows")
     )
     cuts = sampled.groupBy(*[F.col(c).alias(f"_cut_{c}") for c in groups], "_slices").agg(
@@ -124,7 +123,7 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     up_to = cut_index(F.col("_cuts"), lambda cut: cut <= key)
     alone = up_to - below - 1
     dealt = F.when(alone > 0, below + 1 + F.floor(F.rand(29) * alone).cast("int")).otherwise(below)
-    return rows.join(cuts, same_group("_cut"), "left").select(
+    return rows.join(cuts, same_keys(groups, "_cut_"), "left").select(
         *rows.columns, F.when(F.col("_cuts").isNull(), 0).otherwise(dealt).alias("_slice")
     )
 
@@ -140,9 +139,3 @@ def cut_index(cuts: Column, holds) -> Column:
         ).otherwise(found),
     )
 
-
-def _all(conditions):
-    result = F.lit(True)
-    for condition in conditions:
-        result = result & condition
-    return result

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from borelog.operators.cleaning import for_well
 from borelog.schema import ALL_WELLS, SCAN_CAP
+from borelog.support import fetch_small, same_keys
 
 LATEST_COLUMNS = ("well_number", "timestamp", "T-JUS-CKP", "T-TPT", "P-TPT", "P-MON-CKP", "P-PDG", "QGL")
 RECENT_COLUMNS = (
@@ -24,22 +25,48 @@ def newest_rows(rows: DataFrame, n: int, tie_break: Sequence[str] = ("source_fil
 
 
 def newest_per_group(
-    rows: DataFrame, groups: Sequence[str], n: int = 1, tie_break: Sequence[str] = ("source_file",)
+    rows: DataFrame,
+    groups: Sequence[str],
+    n: int = 1,
+    tie_break: Sequence[str] = ("source_file",),
+    prune_days: bool = False,
 ) -> DataFrame:
-    """The ``n`` newest rows of every group, however long the group."""
+    """The ``n`` newest rows of every group, however long the group.
+
+    Each task sorts its own rows and hands on at most ``n`` per group. For histories much longer than ``n`` set
+    ``prune_days``: a first pass counts rows per group and day, from two narrow columns and without sorting, and then
+    only the days that can hold one of the newest ``n`` rows are sorted.
+    """
     order = _newest_first(rows, tie_break)
+    if prune_days:
+        rows = _recent_days(rows, groups, n)
     if n > GROUP_LIMIT:
         rows = rows.withColumn("_part", F.floor(F.rand(5) * GROUP_PARTS).cast("int"))
         rows = _first_n(rows, [*groups, "_part"], order, n).drop("_part")
     return _first_n(rows, groups, order, n)
 
 
+def _recent_days(rows: DataFrame, groups: Sequence[str], n: int) -> DataFrame:
+    days = rows.groupBy(*groups, F.to_date("timestamp").alias("_day")).agg(F.count("*").alias("_n"))
+    newest_first = Window.partitionBy(*groups).orderBy(F.desc_nulls_last("_day"))
+    needed = days.withColumn("_newer", F.sum("_n").over(newest_first) - F.col("_n")).where(F.col("_newer") < n)
+    # A group that needs its rows without a time needs all its rows.
+    first_day = F.when(F.count("_day") == F.count("*"), F.min("_day"))
+    first_days = needed.groupBy(*[F.col(g).alias(f"_from_{g}") for g in groups]).agg(first_day.alias("_first_day"))
+    first_days = fetch_small(first_days)
+    if first_days is None:
+        return rows
+    recent = F.col("_first_day").isNull() | (F.to_date("timestamp") >= F.col("_first_day"))
+    return rows.join(first_days, same_keys(groups, "_from_") & recent).select(*rows.columns)
+
+
 def latest_n_obs(
     observations: DataFrame,
     well: int = ALL_WELLS,
     n: int = 5,
     scan_cap: int | None = SCAN_CAP,
     tie_break: Sequence[str] = ("source_file",),
+    prune_days: bool = False,
 ) -> DataFrame:
     """The ``n`` newest observations per well.
 
@@ -50,15 +77,18 @@ def latest_n_obs(
     rows = for_well(observations, well).select(*LATEST_COLUMNS, *[c for c in tie_break if c not in LATEST_COLUMNS])
     if scan_cap is not None:
         rows = newest_rows(rows, scan_cap, tie_break)
-    return newest_per_group(rows, ["well_number"], n, tie_break).select(*LATEST_COLUMNS)
+    return newest_per_group(rows, ["well_number"], n, tie_break, prune_days).select(*LATEST_COLUMNS)
 
 
 def most_recent_obs(
-    observations: DataFrame, well: int = ALL_WELLS, tie_break: Sequence[str] = ("source_file",)
+    observations: DataFrame,
+    well: int = ALL_WELLS,
+    tie_break: Sequence[str] = ("source_file",),
+    prune_days: bool = False,
 ) -> DataFrame:
     """The newest observation of every (well, state)."""
     rows = for_well(observations, well).select(*RECENT_COLUMNS)
-    return newest_per_group(rows, ["well_number", "state"], 1, tie_break)
+    return newest_per_group(rows, ["well_number", "state"], 1, tie_break, prune_days)
 
 
 def _newest_first(rows, tie_break):

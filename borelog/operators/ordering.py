@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def sort_series(observations: DataFrame) -> DataFrame:
-    """Sort by well and time. Range partitioning splits a long well over several tasks."""
-    return observations.orderBy("well_number", "timestamp")
+    """Sort by well and time. Range partitioning splits a long well, or many rows of one time, over several tasks."""
+    return observations.orderBy("well_number", "timestamp", F.xxhash64(*observations.columns))
 
 
 def top_k(rows: DataFrame, column: str, k: int = 10, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -31,7 +31,8 @@ def train_state_model(
     """Fit fill values (medians), feature vector and classifier on labelled rows.
 
     ``learner`` is ``forest`` (one multi-class random forest) or ``boosted`` (boosted trees, one class against the
-    rest). Spark's trees reject missing values, so those that forward fill leaves are replaced by training medians.
+    rest). Spark's trees reject missing values, so those that forward fill leaves are replaced by training medians,
+    and by 0 in a feature that the training rows never show.
     """
     tree = {"featuresCol": "features", "labelCol": "label", "predictionCol": "index", "seed": SEED}
     if learner == "forest":
@@ -49,9 +50,10 @@ def train_state_model(
 
     rows = training.select(*_doubles(features), F.col(label)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        seen = rows.agg(*[F.count(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in features]).first()
+        training = rows.fillna(0.0, subset=[c for c in features if seen[c] == 0])
         filled = [f"{c} filled" for c in features]
-        indexer = StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep").fit(rows)
-        indexer.setHandleInvalid("keep")
+        indexer = StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep").fit(training)
         stages = [
             indexer,
             Imputer(strategy="median", inputCols=list(features), outputCols=filled),
@@ -59,7 +61,7 @@ def train_state_model(
             classifier,
             IndexToString(inputCol="index", outputCol="predicted_label", labels=indexer.labels),
         ]
-        return Pipeline(stages=stages).fit(rows)
+        return Pipeline(stages=stages).fit(training)
     finally:
         rows.unpersist()
 

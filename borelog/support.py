@@ -27,20 +27,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Fetch a table meant to be small and mark it for broadcast, if it really has at most ``max_rows`` rows.
-
-    A larger table comes back as it was, and the join that uses it is shuffled.
-    """
+def fetch_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """Fetch a table meant to be small and mark it for broadcast; None if it has more than ``max_rows`` rows."""
     rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
-        return df
+        return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys):
-    """Equi-join condition in which NULL keys meet each other."""
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``fetch_small``, but a larger table comes back as it was, and the join that uses it is shuffled."""
+    fetched = fetch_small(df, max_rows)
+    return df if fetched is None else fetched
+
+
+def same_keys(keys, prefix: str):
+    """Equi-join condition between ``keys`` and their ``prefix``-ed namesakes, in which NULL meets NULL."""
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
+        condition = condition & F.col(key).eqNullSafe(F.col(f"{prefix}{key}"))
     return condition

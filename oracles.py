@@ -324,3 +324,5 @@ ORACLES = {
 }
 ORACLES["series_features_bracketed"] = ORACLES["series_features"]
 ORACLES["ovr_auc_sliced"] = ORACLES["ovr_auc"]
+ORACLES["latest_n_obs_pruned"] = ORACLES["latest_n_obs_uncapped"]
+ORACLES["most_recent_obs_pruned"] = ORACLES["most_recent_obs"]

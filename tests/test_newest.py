@@ -1,5 +1,9 @@
+import pytest
+from pyspark.sql import functions as F
+
 from borelog.functions.table_functions import register_functions
 from borelog.operators.newest import latest_n_obs, most_recent_obs, newest_per_group
+from borelog.sources.trees import write_table
 
 SCHEMA = (
     "well_number int, timestamp timestamp, `T-JUS-CKP` double, `T-TPT` double, `P-TPT` double, `P-MON-CKP` double,"
@@ -56,3 +60,29 @@ def test_sql_functions_agree_with_the_operators(spark, at):
     assert spark.sql("SELECT state_name(8), state_name(9)").first()[:] == ("Hydrate in Production Line", None)
     plan = spark.sql("SELECT * FROM latest_n_obs(3)")._jdf.queryExecution().optimizedPlan().toString()
     assert "well_number" in plan and "= 3" in plan and "-1" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 2000])
+def test_pruned_days_change_nothing(spark, at, n):
+    rows = [(s % 3, s * 7919 % 900_000, s % 2, f"f{s % 4}") for s in range(500)] + [(9, 1, 0, "f"), (None, 5, 1, "g")]
+    frame = table(spark, at, rows).union(table(spark, at, rows[:9]).withColumn("timestamp", F.lit(None).cast("timestamp")))
+    plain = newest_per_group(frame, ["well_number", "state"], n, ["source_file", "P-PDG"])
+    pruned = newest_per_group(frame, ["well_number", "state"], n, ["source_file", "P-PDG"], prune_days=True)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, pruned.collect()))
+
+
+def test_permanent_functions_over_a_table(spark, at, tmp_path):
+    rows = table(spark, at, [(s % 5, s, s % 3, "f") for s in range(100)])
+    write_table(rows, "borelog_wells", str(tmp_path / "wells"))
+    names = ("latest_n_obs", "most_recent_obs", "well_time_bounds", "well_failure_counts", "state_name")
+    for name in names:
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+    register_functions(spark, "borelog_wells", temporary=False, schema="default")
+    try:
+        found = spark.sql("SELECT * FROM latest_n_obs(well_number_param => 3, n_obs_param => 2)")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, latest_n_obs(rows, 3, 2).collect()))
+        assert spark.sql("SELECT default.state_name(0)").first()[0] == "Normal"
+    finally:
+        for name in names:
+            spark.sql(f"DROP FUNCTION IF EXISTS default.{name}")
+        spark.sql("DROP TABLE borelog_wells")

@@ -60,3 +60,12 @@ def test_sql_prediction_equals_the_pipeline(spark, labelled, forest):
         found = sorted(map(tuple, spark.sql(sql).collect()))
         assert found == sorted(map(tuple, wanted.collect())) and found
     assert spark.sql("SELECT * FROM predict_state(1023)").isEmpty()
+
+
+def test_a_feature_never_seen_in_training(labelled):
+    """It is filled with 0, in training and later, and says nothing."""
+    blind = labelled.withColumn("QGL", F.lit(None).cast("double")).withColumn("T-TPT", F.lit(float("nan")))
+    model = train_state_model(blind, num_trees=3)
+    assert accuracy(apply_model(model, labelled)).first()[0] > 0.9
+    importance = {r.feature: r.importance for r in feature_importance(model, labelled).collect()}
+    assert importance["QGL"] == importance["T-TPT"] == 0.0
