@@ -34,7 +34,7 @@ def forward_fill(
     fill_cols = [c for c in observations.columns if c not in (*keys, order_col)] if fill_cols is None else fill_cols
     fill_cols = [c for c in fill_cols if c not in keys]
     rows = observations.withColumn("_hash", F.xxhash64(*observations.columns))
-    order = list(dict.fromkeys([order_col, *[c for c in tie_break if c not in keys], "_hash"]))
+    order = [order_col, *[c for c in tie_break if c in observations.columns and c not in keys], "_hash"]
     held = rows.withColumns({c: _held(c, order_col, max_gap) for c in fill_cols}) if max_gap else rows
 
     if oversized(observations, keys, max_chunk_rows).isEmpty():

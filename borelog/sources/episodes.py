@@ -1,5 +1,7 @@
 """Raw episode files: any timestamp precision in, one clean layout out."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from borelog.schema import EPISODE_SCHEMA, RAW_COLUMNS
@@ -8,21 +10,31 @@ from borelog.sources.trees import read_tree
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
-def stored_schema(spark: SparkSession, root: str, pattern: str = "*.parquet") -> T.StructType:
-    """Schema of one file of the tree, with ``timestamp`` as the integer it is stored as."""
+def declared_schema(sample: T.StructType, columns: Sequence[str]) -> T.StructType:
+    """Schema to read ``columns`` with, whichever of them a single file has; a file that lacks one gives NULL.
+
+    Sensors are doubles. ``state`` and ``timestamp`` are taken as stored, since the Parquet reader only widens types.
+    """
+    stored = {field.name: field.dataType for field in sample}
+    special = {"timestamp": stored.get("timestamp", T.TimestampType()), "state": stored.get("state", T.LongType())}
+    if isinstance(special["state"], T.IntegralType):
+        special["state"] = T.LongType()
+    return T.StructType([T.StructField(c, special.get(c, T.DoubleType())) for c in columns])
+
+
+def raw_schema(spark: SparkSession, root: str, pattern: str = "*.parquet") -> T.StructType:
+    """Schema of a raw tree, with ``timestamp`` as the integer it is stored as."""
     before = spark.conf.get(NANOS_AS_LONG, None)
     spark.conf.set(NANOS_AS_LONG, "true")
     try:
-        found = read_tree(spark, root, pattern).drop("source_file").schema
+        sample = read_tree(spark, root, pattern).schema
     finally:
         if before is None:
             spark.conf.unset(NANOS_AS_LONG)
         else:
             spark.conf.set(NANOS_AS_LONG, before)
-    return T.StructType([
-        T.StructField(field.name, T.LongType() if field.name == "timestamp" else field.dataType)
-        for field in found
-    ])
+    as_integer = [T.StructField("timestamp", T.LongType())]
+    return declared_schema(T.StructType([f for f in sample if f.name != "timestamp"] + as_integer), RAW_COLUMNS)
 
 
 def epoch_to_timestamp(column: str):
@@ -36,7 +48,7 @@ def epoch_to_timestamp(column: str):
 
 def read_raw_episodes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Read raw files whose timestamps may differ in precision, nanoseconds included, in one scan."""
-    schema = stored_schema(spark, root, pattern)
+    schema = raw_schema(spark, root, pattern)
     raw = read_tree(spark, root, pattern, schema=schema)
     return raw.withColumn("timestamp", epoch_to_timestamp("timestamp"))
 
@@ -71,9 +83,7 @@ def write_normalised(episodes: DataFrame, out: str) -> None:
 
 
 def read_episodes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Read normalised files with the declared columns and types, and ``source_file``.
-
-    ``state`` is read as stored and then narrowed, since Parquet integers cannot be narrowed by the reader.
-    """
-    stored = read_tree(spark, root, pattern)
+    """Read normalised files with the declared columns and types, and ``source_file``."""
+    schema = declared_schema(read_tree(spark, root, pattern).schema, EPISODE_SCHEMA.fieldNames())
+    stored = read_tree(spark, root, pattern, schema=schema)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EPISODE_SCHEMA], "source_file")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from borelog.sources.episodes import epoch_to_timestamp, normalise_episodes, stored_schema
+from borelog.sources.episodes import epoch_to_timestamp, normalise_episodes, raw_schema
 
 
 def stream_raw_episodes(
@@ -11,7 +11,7 @@ def stream_raw_episodes(
 ) -> DataFrame:
     """Stream of raw rows with ``source_file``; ``max_files`` bounds the files of one micro-batch."""
     reader = (
-        spark.readStream.schema(stored_schema(spark, root, pattern))
+        spark.readStream.schema(raw_schema(spark, root, pattern))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
     )

@@ -1,6 +1,7 @@
 """Helpers for materialising and joining small, bounded tables."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,9 +23,15 @@ def ensure_checkpoint_dir(spark) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, so that every later use sees the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
+
+    Every later use sees the same rows, reads only the columns it needs, and does not depend on the executors that
+    computed them.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fetch_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:

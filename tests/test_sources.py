@@ -3,6 +3,7 @@ import datetime as dt
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from borelog.operators.cleaning import clean
 from borelog.plans.tables import build_table, normalise_tree, observations, process_tree
@@ -17,10 +18,10 @@ from borelog.streaming.ingest import ingest_new_files
 START = dt.datetime(2017, 2, 1, 1, 2, 3, 456789)
 
 
-def write_episode(folder, name, unit="ns", n=4, states=(0, None, 8, 0), start=START, extra=()):
+def write_episode(folder, name, unit="ns", n=4, states=(0, None, 8, 0), start=START, extra=(), lacks=()):
     folder.mkdir(parents=True, exist_ok=True)
     times = [start + dt.timedelta(seconds=i) for i in range(n)]
-    columns = {c: pa.array([float(i) if i % 2 else None for i in range(n)], pa.float64()) for c in RAW_COLUMNS[:-2]}
+    columns = {c: pa.array([float(i) if i % 2 else None for i in range(n)], pa.float64()) for c in RAW_COLUMNS[:-2] if c not in lacks}
     columns |= {c: pa.array([1.0] * n) for c in extra}
     columns["state"] = pa.array([states[i % len(states)] for i in range(n)], pa.int64())
     if unit == "us":
@@ -69,6 +70,17 @@ def test_normalised_tree_keeps_provenance_and_feeds_the_table(spark, raw_tree, t
     assert [r["P-PDG"] for r in by_file] == [None, None, 3.0, None, None, 3.0]
 
 
+def test_sensors_that_some_files_lack(spark, tmp_path):
+    """Which file the schema is sampled from does not decide what is read."""
+    for at, lacks in enumerate([("QGL",), ("P-PDG", "P-MON-CKGL"), ()]):
+        write_episode(tmp_path / "raw" / "0", f"WELL-0000{at}_x.parquet", lacks=lacks)
+    normalise_tree(spark, str(tmp_path / "raw"), str(tmp_path / "clean"))
+    rows = clean(read_episodes(spark, str(tmp_path / "clean")))
+    seen = {r.well_number: (r[1], r[2]) for r in rows.selectExpr("well_number", "QGL", "`P-PDG` AS p").groupBy(
+        "well_number").agg(F.count("QGL"), F.count("p")).collect()}
+    assert seen == {0: (0, 1), 1: (1, 0), 2: (1, 1)}
+
+
 def test_well_filter_reads_one_folder(spark, raw_tree, tmp_path):
     out = str(tmp_path / "clean")
     normalise_tree(spark, str(raw_tree), out)
