@@ -1,12 +1,19 @@
 """Basic features of every sensor series."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from borelog.operators.filling import oversized
 from borelog.schema import MODEL_TAGS
-from borelog.support import same_keys, small_side
+from borelog.support import materialise, same_keys, small_side
+
+# The bracket around a median: rows sampled per series, rank error of the quantile sketch over the sample, and a margin
+# of six standard errors of a sampled median. It holds about 4 % of a series, which is counted in this many strips.
+SAMPLE_ROWS = 25_000
+SKETCH_ACCURACY = 10_000
+MARGIN = 3 / math.sqrt(SAMPLE_ROWS) + 2 / SKETCH_ACCURACY
+STRIPS = 1024
 
 
 def series_features(
@@ -14,23 +21,21 @@ def series_features(
     tags: Sequence[str] = MODEL_TAGS,
     by: Sequence[str] = ("well_number",),
     max_series_rows: int = 100_000,
-    accuracy: int = 20_000,
 ) -> DataFrame:
     """Sum, mean, median, length, spread, RMS and extremes per series and tag, one row each; NULLs do not count.
 
     The median is exact. While no series has more than ``max_series_rows`` rows, the built-in aggregate takes it in the
-    same pass. It would hold all values of a long series in one task, so beyond that the first pass only brackets the
-    median with a quantile sketch (rank error at most 1/``accuracy``), and a second one counts the values below,
-    inside and above the bracket, one by one only inside: about 8/``accuracy`` of a series is shuffled.
+    same pass. It would hold all values of a long series in one task; beyond that a sample brackets each median, and
+    only the values inside the bracket are counted one by one, spread over tasks.
     """
     value = F.col("value")
     long = observations.unpivot(list(by), list(tags), "tag", "value")
-    short = oversized(observations, by, max_series_rows).isEmpty()
-    margin = 4 / accuracy
-    middle = F.median(value) if short else F.percentile_approx(value, [0.5 - margin, 0.5 + margin], accuracy)
+    sizes = observations.groupBy(*by).agg(F.count("*").alias("_rows"))
+    longest = sizes.agg(F.max("_rows")).first()[0] or 0
+    median = [F.median(value).alias("median")] if longest <= max_series_rows else []
     summary = long.groupBy(*by, "tag").agg(
         F.sum(value).alias("sum_values"),
-        middle.alias("median" if short else "_bracket"),
+        *median,
         F.avg(value).alias("mean"),
         F.count(value).alias("length"),
         F.stddev_pop(value).alias("standard_deviation"),
@@ -40,37 +45,75 @@ def series_features(
         F.max(F.abs(value)).alias("absolute_maximum"),
         F.min(value).alias("minimum"),
     )
-    if short:
+    if median:
         return summary
     keys = [*by, "tag"]
-    summary = small_side(summary)
-    medians = _medians(long.where(value.isNotNull()), summary, keys)
+    medians = _long_medians(long.where(value.isNotNull()), keys, by, sizes)
     medians = medians.withColumnsRenamed({c: f"_{c}" for c in keys})
-    return summary.join(medians, same_keys(keys, "_"), "left").select(
-        *keys, "sum_values", "median", *summary.columns[len(keys) + 2:]
-    )
+    first, *others = summary.columns[len(keys):]
+    return summary.join(medians, same_keys(keys, "_"), "left").select(*keys, first, "median", *others)
 
 
-def _medians(long: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _long_medians(long: DataFrame, keys: Sequence[str], by: Sequence[str], sizes: DataFrame) -> DataFrame:
+    rates = small_side(sizes.select(*[F.col(c).alias(f"_{c}") for c in by], (SAMPLE_ROWS / F.col("_rows")).alias("_rate")))
+    sample = long.join(rates, same_keys(by, "_")).where(F.rand(11) < F.col("_rate"))
+    bracket = sample.groupBy(*keys).agg(
+        F.percentile_approx("value", [0.5 - MARGIN, 0.5 + MARGIN], SKETCH_ACCURACY).alias("_bracket")
+    )
     low, high = F.get("_bracket", F.lit(0)), F.get("_bracket", F.lit(1))
-    side = F.when(F.col("value") < low, -1).when(F.col("value") > high, 1).otherwise(0)
-    brackets = summary.select(*[F.col(k).alias(f"_{k}") for k in keys], "_bracket")
-    counted = (
-        long.join(brackets, same_keys(keys, "_"))
-        .select(*keys, side.alias("_side"), F.when(side == 0, F.col("value")).alias("_value"))
-        .groupBy(*keys, "_side", "_value")
-        .agg(F.count("*").alias("_n"))
+    counted = _count_in_strips(long, keys, bracket.select(*keys, low.alias("_low"), high.alias("_high")))
+    targets = _target_strips(counted, keys)
+    if not targets.where(f"_strip < 0 OR _strip >= {STRIPS}").isEmpty():
+        # The margin makes this all but impossible. Bracketing everything costs a larger shuffle, not exactness.
+        whole = long.groupBy(*keys).agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+        counted = _count_in_strips(long, keys, whole)
+        targets = _target_strips(counted, keys)
+    return _values_at_ranks(counted, keys, targets)
+
+
+def _count_in_strips(long: DataFrame, keys: Sequence[str], bracket: DataFrame) -> DataFrame:
+    """How often each value inside its series' bracket occurs; values below and above are counted together.
+
+    Strips cut the bracket evenly: -1 is below it, ``STRIPS`` above.
+    """
+    low, high, value = F.col("_low"), F.col("_high"), F.col("value")
+    share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
+    strip = F.greatest(F.lit(0), F.least(F.floor(share * STRIPS).cast("int"), F.lit(STRIPS - 1)))
+    side = F.when(value < low, -1).when(value > high, STRIPS).otherwise(strip)
+    bracket = small_side(bracket.withColumnsRenamed({k: f"_{k}" for k in keys}))
+    placed = long.join(bracket, same_keys(keys, "_"), "left").select(
+        *keys, F.coalesce(side, F.lit(STRIPS)).alias("_strip"), "value"
+    )
+    inside = F.col("_strip").between(0, STRIPS - 1)
+    return materialise(
+        placed.groupBy(*keys, "_strip", F.when(inside, F.col("value")).alias("_value")).agg(F.count("*").alias("_n"))
     )
+
+
+def _target_strips(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The strips that hold the middle rank or ranks of each series, with the rows before them."""
     series = Window.partitionBy(*keys)
-    ranked = counted.select(
+    strips = counted.groupBy(*keys, "_strip").agg(F.sum("_n").alias("_n")).select(
         *keys,
-        "_value",
-        F.sum("_n").over(series.orderBy("_side", "_value")).alias("_upto"),
+        "_strip",
+        (F.sum("_n").over(series.orderBy("_strip")) - F.col("_n")).alias("_before"),
         "_n",
         F.sum("_n").over(series).alias("_total"),
     )
-    holds = lambda rank: (F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto"))
-    lower = F.max(F.when(holds(F.floor((F.col("_total") + 1) / 2)), F.col("_value")))
-    upper = F.max(F.when(holds(F.floor(F.col("_total") / 2) + 1), F.col("_value")))
-    outside = F.raise_error(F.lit("median outside its bracket: raise the accuracy")).cast("double")
-    return ranked.groupBy(*keys).agg(F.coalesce((lower + upper) / 2, outside).alias("median"))
+    ranked = strips.withColumns({"_lower": F.expr("(_total + 1) DIV 2"), "_upper": F.expr("_total DIV 2 + 1")})
+    return ranked.where(_holds("_lower", "_before + _n", "_n") | _holds("_upper", "_before + _n", "_n")).drop("_n", "_total")
+
+
+def _holds(rank: str, upto: str, n: str):
+    return F.expr(f"{upto} - {n} < {rank} AND {rank} <= {upto}")
+
+
+def _values_at_ranks(counted: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
+    targets = small_side(targets.withColumnsRenamed({c: f"_at_{c}" for c in (*keys, "_strip")}))
+    in_strip = Window.partitionBy(*keys, "_strip").orderBy("_value")
+    ranked = counted.join(targets, same_keys([*keys, "_strip"], "_at_")).withColumn(
+        "_upto", F.col("_before") + F.sum("_n").over(in_strip)
+    )
+    lower = F.max(F.when(_holds("_lower", "_upto", "_n"), F.col("_value")))
+    upper = F.max(F.when(_holds("_upper", "_upto", "_n"), F.col("_value")))
+    return ranked.groupBy(*keys).agg(((lower + upper) / 2).alias("median"))

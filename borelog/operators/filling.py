@@ -128,9 +128,9 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     )
 
 
-def cut_index(cuts: Column, holds) -> Column:
+def cut_index(cuts: Column, holds, max_cuts: int = MAX_SLICES) -> Column:
     """How many of the sorted ``cuts`` satisfy ``holds``, by bisection."""
-    steps = F.array(*[F.lit(MAX_SLICES >> k) for k in range(MAX_SLICES.bit_length())])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max_cuts.bit_length()))])
     return F.aggregate(
         steps,
         F.lit(0),
@@ -138,4 +138,3 @@ def cut_index(cuts: Column, holds) -> Column:
             (found + step <= F.size(cuts)) & holds(F.get(cuts, found + step - 1)), found + step
         ).otherwise(found),
     )
-

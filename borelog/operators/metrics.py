@@ -13,6 +13,9 @@ ACCURACY_ROW = "accuracy"
 MACRO_ROW = "macro avg"
 WEIGHTED_ROW = "weighted avg"
 
+# Rows sampled per slice of a score range to find where to cut it.
+SAMPLES_PER_SLICE = 1000
+
 
 def confusion_counts(scored: DataFrame, label: str = "state", prediction: str = "prediction") -> DataFrame:
     return scored.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
@@ -91,7 +94,7 @@ def ovr_auc(
     """Exact one-vs-rest ROC-AUC of every class in ``scores`` (class -> its score column), with class counts.
 
     The AUC is the share of (positive, negative) pairs in the right order, ties counting half. Rows with equal scores
-    are counted together first. Beyond ``slice_rows`` rows the score range of a class is cut at approximate quantiles;
+    are counted together first. Beyond ``slice_rows`` rows the score range of a class is cut at quantiles of a sample;
     pairs within a slice are counted inside it, pairs across slices from the slice totals, so the work spreads over
     tasks and where exactly the cuts fall does not matter.
     """
@@ -108,8 +111,13 @@ def ovr_auc(
     by_score = long.groupBy("class", "score").agg(
         count_if(F.col("is_positive")).alias("positives"), count_if(~F.col("is_positive")).alias("negatives")
     )
-    n_slices = min(MAX_SLICES, math.ceil(scored.count() / slice_rows))
-    in_slice = by_score.withColumn("slice", F.lit(0)) if n_slices < 2 else _sliced(by_score, long, n_slices)
+    n_rows = scored.count()
+    n_slices = min(MAX_SLICES, math.ceil(n_rows / slice_rows))
+    if n_slices < 2:
+        in_slice = by_score.withColumn("slice", F.lit(0))
+    else:
+        sample = long.where(F.rand(13) < n_slices * SAMPLES_PER_SLICE / n_rows)
+        in_slice = _sliced(by_score, sample, n_slices)
     upto = F.sum("negatives").over(Window.partitionBy("class", "slice").orderBy("score"))
     pairs = F.col("positives") * (upto - F.col("negatives") / 2)
     by_slice = in_slice.withColumn("pairs", pairs).groupBy("class", "slice").agg(
@@ -128,14 +136,15 @@ def ovr_auc(
     )
 
 
-def _sliced(by_score: DataFrame, long: DataFrame, n_slices: int) -> DataFrame:
+def _sliced(by_score: DataFrame, sample: DataFrame, n_slices: int) -> DataFrame:
     quantiles = [k / n_slices for k in range(1, n_slices)]
-    cuts = long.groupBy(F.col("class").alias("cut_class")).agg(
+    cuts = sample.groupBy(F.col("class").alias("cut_class")).agg(
         F.percentile_approx("score", quantiles, 10 * n_slices).alias("cuts")
     )
     # One row of at most MAX_SLICES numbers per scored class: the call itself bounds the broadcast side.
     found = by_score.join(F.broadcast(cuts), F.col("class") == F.col("cut_class"), "left")
-    return found.select(*by_score.columns, cut_index(F.col("cuts"), lambda cut: cut < F.col("score")).alias("slice"))
+    below = cut_index(F.col("cuts"), lambda cut: cut < F.col("score"), n_slices)
+    return found.select(*by_score.columns, F.coalesce(below, F.lit(0)).alias("slice"))
 
 
 def weighted_ovr_auc(

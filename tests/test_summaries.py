@@ -4,6 +4,7 @@ import statistics
 import pytest
 
 from borelog.operators.cleaning import clean
+from borelog.operators import features
 from borelog.operators.features import series_features
 from borelog.operators.ordering import row_range, seeded_sample, sort_series, top_k
 from borelog.operators.splitting import split_by_time, split_classes, stratified_split
@@ -98,8 +99,16 @@ def test_features_on_every_plan(spark, max_series_rows):
         assert row.absolute_maximum == max(map(abs, numbers))
 
 
-def test_bracketed_median_of_a_long_series(spark):
-    rows = spark.range(200_001).selectExpr("1 AS well_number", "pow(hash(id) / 1e6, 3) AS a")
-    plain = series_features(rows, ["a"], max_series_rows=10**9).first()["median"]
-    assert series_features(rows, ["a"], max_series_rows=10).first()["median"] == plain
-    assert series_features(rows, ["a"], max_series_rows=10, accuracy=200).first()["median"] == plain
+@pytest.mark.parametrize("value", ["pow(hash(id) / 1e6, 3)", "id % 7", "IF(id % 2 = 0, 1e-300, 1e300)", "5.0"])
+def test_median_of_a_long_series(spark, value):
+    rows = spark.range(300_000).selectExpr("IF(id % 3 > 0, 1, CAST(id % 5 AS INT)) AS well_number", f"CAST({value} AS DOUBLE) AS a")
+    plain = {r.well_number: r["median"] for r in series_features(rows, ["a"], max_series_rows=10**9).collect()}
+    long = {r.well_number: r["median"] for r in series_features(rows, ["a"], max_series_rows=10).collect()}
+    assert long == plain
+
+
+def test_median_outside_its_bracket(spark, monkeypatch):
+    """A bracket that misses the median costs another count, not the right result."""
+    monkeypatch.setattr(features, "MARGIN", -0.4)
+    rows = spark.range(10_001).selectExpr("1 AS well_number", "CAST(id AS DOUBLE) AS a")
+    assert features.series_features(rows, ["a"], max_series_rows=10).first()["median"] == 5000.0
