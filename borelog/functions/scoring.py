@@ -1,33 +1,46 @@
-"""A trained forest as a vectorised SQL function."""
+"""Models as vectorised SQL functions, for the SQL table function ``predict_state``."""
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession, functions as F
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import SparkSession, types as T
 
 from borelog.schema import MODEL_FEATURES
 
 
-def register_forest(spark: SparkSession, model: PipelineModel, name: str = "state_model") -> str:
-    """Register a forest pipeline of ``plans.training`` as a SQL function of the features, in ``MODEL_FEATURES`` order.
+def register_batch_model(spark: SparkSession, make_predict, name: str = "state_model", batch_size: int = 4096) -> str:
+    """Register any model as a SQL function of one array, the features in ``MODEL_FEATURES`` order.
 
-    Only the trees and the fill values travel to the executors; rows arrive there in Arrow batches.
+    ``make_predict()`` loads it, once per Python worker, and returns its predict function: a matrix with one row per
+    observation in, NaN where there is no reading, an array of state codes out.
     """
+    predict = predict_batch_udf(
+        make_predict,
+        return_type=T.DoubleType(),
+        batch_size=batch_size,
+        input_tensor_shapes=[[len(MODEL_FEATURES)]],
+    )
+    spark.udf.register(name, predict)
+    return name
+
+
+def register_forest(spark: SparkSession, model: PipelineModel, name: str = "state_model") -> str:
+    """Register a forest pipeline of ``plans.training``; only its trees and fill values travel to the executors."""
     indexer, imputer, _, forest, _ = model.stages
     fill = imputer.surrogateDF.first()
     fill_values = np.array([fill[c] for c in MODEL_FEATURES])
     labels = np.array(indexer.labels, dtype=float)
     trees = [_as_arrays(tree) for tree in forest.trees]
 
-    @F.pandas_udf("double")
-    def predict(*features: pd.Series) -> pd.Series:
-        rows = np.column_stack([f.to_numpy(dtype=float, na_value=np.nan) for f in features])
-        rows = np.where(np.isnan(rows), fill_values, rows)
-        votes = sum(_leaf_shares(tree, rows) for tree in trees)
-        return pd.Series(labels[votes.argmax(axis=1)])
+    def make_predict():
+        def predict(rows):
+            rows = np.where(np.isnan(rows), fill_values, rows)
+            votes = sum(_leaf_shares(tree, rows) for tree in trees)
+            return labels[votes.argmax(axis=1)]
 
-    spark.udf.register(name, predict)
-    return name
+        return predict
+
+    return register_batch_model(spark, make_predict, name)
 
 
 def _as_arrays(tree):

@@ -19,7 +19,7 @@ def register_functions(
     """Create ``state_name`` and the table functions that read the view or table ``observations``.
 
     ``latest_n_obs(well, n)``, ``most_recent_obs(well)``, ``well_time_bounds(well)``, ``well_failure_counts(well)``
-    and, given the name of a function over the model features, ``predict_state(well, n)``. ``scan_cap`` is fixed at
+    and, given the name of a function of the array of model features, ``predict_state(well, n)``. ``scan_cap`` is fixed at
     creation, because SQL takes no parameter in LIMIT. Functions that are not ``temporary`` go into ``schema`` and need
     a table and a model function that are permanent too; Spark calls table functions without a qualifier, so ``USE`` the
     schema first. Bodies are inlined into the calling query, so a constant well
@@ -77,12 +77,13 @@ def register_functions(
         SELECT well_number, get(array({names}), state), n FROM counts
     """)
     if model_function is not None:
+        features = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in MODEL_FEATURES)
         spark.sql(f"""
             {create} {home}predict_state(
                 {well.replace('BIGINT', 'INT')}, n_obs_param INT DEFAULT 10 COMMENT 'How many observations per well'
             )
             RETURNS TABLE (well_number INT, timestamp {types['timestamp']}, prediction INT)
             COMMENT 'Predicted state of the newest observations of a well, or of every well'
-            RETURN SELECT well_number, timestamp, CAST({model_function}({listing(MODEL_FEATURES)}) AS INT)
+            RETURN SELECT well_number, timestamp, CAST({model_function}(array({features})) AS INT)
             FROM latest_n_obs(well_number_param, n_obs_param)
         """)

@@ -37,12 +37,15 @@ def forward_fill(
     order = [order_col, *[c for c in tie_break if c in observations.columns and c not in keys], "_hash"]
     held = rows.withColumns({c: _held(c, order_col, max_gap) for c in fill_cols}) if max_gap else rows
 
-    if oversized(observations, keys, max_chunk_rows).isEmpty():
+    longest_series, longest_day = _longest(observations, keys, order_col)
+    if longest_series <= max_chunk_rows:
         chunk = keys
     else:
-        days = held.withColumn("_day", F.to_date(order_col))
-        held = add_slice(days, [*keys, "_day"], order, max_chunk_rows)
-        chunk = [*keys, "_day", "_slice"]
+        held = held.withColumn("_day", F.to_date(order_col))
+        chunk = [*keys, "_day"]
+        if longest_day > max_chunk_rows:
+            held = add_slice(held, chunk, order, max_chunk_rows)
+            chunk = [*chunk, "_slice"]
         held = _carried_in(held, keys, chunk, order, fill_cols).unionByName(
             held.withColumn("_is_row", F.lit(True)), allowMissingColumns=True
         )
@@ -60,6 +63,14 @@ def forward_fill(
     return filled.select(*observations.columns)
 
 
+def _longest(rows: DataFrame, keys: Sequence[str], order_col: str) -> tuple[int, int]:
+    """Rows of the longest series and of the longest day of a series, counted in one pass over the key columns."""
+    days = rows.groupBy(*keys, F.to_date(order_col).alias("_day")).agg(F.count("*").alias("_rows"))
+    series = days.groupBy(*keys).agg(F.sum("_rows").alias("_rows"), F.max("_rows").alias("_day_rows"))
+    longest = series.agg(F.max("_rows"), F.max("_day_rows")).first()
+    return longest[0] or 0, longest[1] or 0
+
+
 def _held(column: str, order_col: str, max_gap: str | None) -> Column:
     """The value together with the time it was read, so that its age is known wherever it is carried."""
     return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("value"), F.col(order_col).alias("at")))
@@ -80,11 +91,6 @@ def _carried_in(rows: DataFrame, keys, chunk, order, fill_cols) -> DataFrame:
     )
 
 
-def oversized(rows: DataFrame, groups: Sequence[str], max_rows: int) -> DataFrame:
-    """Groups of more than ``max_rows`` rows, with their size in ``_rows``."""
-    return rows.groupBy(*groups).agg(F.count("*").alias("_rows")).where(F.col("_rows") > max_rows)
-
-
 def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
     """Number stretches of about ``max_rows`` rows within each group, along ``order``, in ``_slice``.
 
@@ -93,7 +99,8 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     slice, unless they are so many that several cut points fall on them: then they are dealt out over the slices
     between those cut points, where they are alone.
     """
-    large = oversized(rows, groups, max_rows)
+    sizes = rows.groupBy(*groups).agg(F.count("*").alias("_rows"))
+    large = materialise(sizes.where(F.col("_rows") > max_rows))
     n_slices, = large.agg(F.sum(F.ceil(F.col("_rows") / max_rows))).first()
     if n_slices is None:
         return rows.withColumn("_slice", F.lit(0))
@@ -117,7 +124,7 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
             lambda i: F.get("_sample", F.floor(i * F.size("_sample") / F.col("_slices")).cast("int")),
         ).alias("_cuts"),
     )
-    # The sample is random: written once, both passes over the rows see the same cut points.
+    # The sample is random: written once, every pass over the rows sees the same cut points.
     cuts = small_side(materialise(cuts))
     below = cut_index(F.col("_cuts"), lambda cut: cut < key)
     up_to = cut_index(F.col("_cuts"), lambda cut: cut <= key)

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from borelog.schema import EPISODE_SCHEMA, RAW_COLUMNS
-from borelog.sources.trees import read_tree
+from borelog.sources.trees import read_tree, scan_tree
 
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
@@ -49,7 +49,7 @@ def epoch_to_timestamp(column: str):
 def read_raw_episodes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Read raw files whose timestamps may differ in precision, nanoseconds included, in one scan."""
     schema = raw_schema(spark, root, pattern)
-    raw = read_tree(spark, root, pattern, schema=schema)
+    raw = scan_tree(spark, root, pattern, schema)
     return raw.withColumn("timestamp", epoch_to_timestamp("timestamp"))
 
 
@@ -85,5 +85,5 @@ def write_normalised(episodes: DataFrame, out: str) -> None:
 def read_episodes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Read normalised files with the declared columns and types, and ``source_file``."""
     schema = declared_schema(read_tree(spark, root, pattern).schema, EPISODE_SCHEMA.fieldNames())
-    stored = read_tree(spark, root, pattern, schema=schema)
+    stored = scan_tree(spark, root, pattern, schema)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EPISODE_SCHEMA], "source_file")

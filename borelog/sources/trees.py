@@ -17,6 +17,20 @@ def read_tree(
     With ``merge_schema`` the files are united by column name and a column that a file lacks is NULL.
     Filters on ``source_file`` prune whole files, because it is the scan's own metadata column.
     """
+    if schema is not None and list_files(spark, root, pattern).isEmpty():
+        raise ValueError(f"no file under {root} matches {pattern}")
+    try:
+        return scan_tree(spark, root, pattern, schema, merge_schema, skip_corrupt)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            raise ValueError(f"no readable Parquet file under {root} matches {pattern}") from error
+        raise
+
+
+def scan_tree(
+    spark: SparkSession, root: str, pattern: str, schema=None, merge_schema: bool = False, skip_corrupt: bool = False
+) -> DataFrame:
+    """``read_tree`` without its check that there is a file."""
     reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -24,16 +38,8 @@ def read_tree(
         .option("ignoreCorruptFiles", skip_corrupt)
     )
     if schema is not None:
-        if list_files(spark, root, pattern).isEmpty():
-            raise ValueError(f"no file under {root} matches {pattern}")
         reader = reader.schema(schema)
-    try:
-        files = reader.parquet(str(root))
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            raise ValueError(f"no readable Parquet file under {root} matches {pattern}") from error
-        raise
-    return files.withColumn("source_file", F.col("_metadata.file_path"))
+    return reader.parquet(str(root)).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

@@ -1,9 +1,11 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from borelog.functions.scoring import register_forest
+from borelog.functions.scoring import register_batch_model, register_forest
 from borelog.functions.table_functions import register_functions
 from borelog.operators.metrics import accuracy, weighted_ovr_auc
+from borelog.operators.newest import latest_n_obs
 from borelog.plans.training import apply_model, class_scores, feature_importance, predict_state, train_state_model
 from borelog.schema import MODEL_TAGS
 
@@ -69,3 +71,15 @@ def test_a_feature_never_seen_in_training(labelled):
     assert accuracy(apply_model(model, labelled)).first()[0] > 0.9
     importance = {r.feature: r.importance for r in feature_importance(model, labelled).collect()}
     assert importance["QGL"] == importance["T-TPT"] == 0.0
+
+
+def test_an_external_model_in_sql(spark, labelled):
+    labelled.withColumn("P-JUS-CKP", F.lit(None).cast("double")).createOrReplaceTempView("labelled_rows")
+
+    def load():
+        return lambda rows: np.where(np.nan_to_num(rows[:, 0]) > 50, 101.0, 0.0)
+
+    register_functions(spark, "labelled_rows", register_batch_model(spark, load, "threshold_model"))
+    found = {(r.well_number, r.timestamp): r.prediction for r in spark.sql("SELECT * FROM predict_state(n_obs_param => 20)").collect()}
+    newest = latest_n_obs(labelled, n=20).collect()
+    assert found == {(r.well_number, r.timestamp): 101 if (r["P-PDG"] or 0) > 50 else 0 for r in newest}
