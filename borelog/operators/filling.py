@@ -125,13 +125,18 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
         ).alias("_cuts"),
     )
     # The sample is random: written once, every pass over the rows sees the same cut points.
-    cuts = small_side(materialise(cuts))
-    below = cut_index(F.col("_cuts"), lambda cut: cut < key)
-    up_to = cut_index(F.col("_cuts"), lambda cut: cut <= key)
+    cuts = small_side(
+        materialise(cuts.withColumn("_repeats", F.size(F.array_distinct("_cuts")) < F.size("_cuts")))
+    )
+    below = cut_index(F.col("_cuts"), lambda cut: cut < F.col("_key"))
+    up_to = cut_index(F.col("_cuts"), lambda cut: cut <= F.col("_key"))
     alone = up_to - below - 1
     dealt = F.when(alone > 0, below + 1 + F.floor(F.rand(29) * alone).cast("int")).otherwise(below)
-    return rows.join(cuts, same_keys(groups, "_cut_"), "left").select(
-        *rows.columns, F.when(F.col("_cuts").isNull(), 0).otherwise(dealt).alias("_slice")
+    slice_ = F.when(F.col("_cuts").isNull(), 0).when(F.col("_repeats"), dealt).otherwise(below)
+    return (
+        rows.withColumn("_key", key)
+        .join(cuts, same_keys(groups, "_cut_"), "left")
+        .select(*rows.columns, slice_.alias("_slice"))
     )
 
 
