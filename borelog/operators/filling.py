@@ -131,7 +131,8 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     below = cut_index(F.col("_cuts"), lambda cut: cut < F.col("_key"))
     up_to = cut_index(F.col("_cuts"), lambda cut: cut <= F.col("_key"))
     alone = up_to - below - 1
-    dealt = F.when(alone > 0, below + 1 + F.floor(F.rand(29) * alone).cast("int")).otherwise(below)
+    # Copies are dealt by task: one that runs again deals them as before.
+    dealt = F.when(alone > 0, below + 1 + F.pmod(F.spark_partition_id(), alone)).otherwise(below)
     slice_ = F.when(F.col("_cuts").isNull(), 0).when(F.col("_repeats"), dealt).otherwise(below)
     return (
         rows.withColumn("_key", key)

@@ -43,7 +43,9 @@ def newest_per_group(
     if prune_days:
         rows = _recent_days(rows, groups, n)
     if n > GROUP_LIMIT:
-        rows = rows.withColumn("_part", F.floor(F.rand(5) * GROUP_PARTS).cast("int"))
+        # By content and task, so that a task that runs again deals its rows, copies included, as before.
+        part = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(GROUP_PARTS))
+        rows = rows.withColumn("_part", part)
         rows = _first_n(rows, [*groups, "_part"], order, n).drop("_part")
     return _first_n(rows, groups, order, n)
 
