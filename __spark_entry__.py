@@ -24,6 +24,14 @@ from borelog.sources.trees import read_tree
 from borelog.support import materialise
 from oracles import ORACLES
 
+try:
+    import corpus_pipeline
+    from borelog.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    if (error.name or "") not in ("corpus_pipeline", "borelog.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(event_view.episodes_from_events(spark, sf_dir))
@@ -116,7 +124,8 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     view = event_view.episodes_from_events
     by_file = ("well_number", "source_file")
-    return {
+    text_queries = {} if llm_queries is None else llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return text_queries | {
         "clean_observations": _clean,
         "clean_keep_synthetic": lambda s, d: cleaning.clean(view(s, d), drop_synthetic=False),
         "normalised_episodes": lambda s, d: normalise_episodes(view(s, d)),
@@ -192,4 +201,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    text_oracles = {} if llm_queries is None else llm_queries.ORACLES
+    return text_oracles | ORACLES

@@ -1,5 +1,7 @@
 """Helpers for materialising and joining small, bounded tables."""
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -22,14 +24,38 @@ def ensure_checkpoint_dir(spark) -> str:
     return sc.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
+_scratch = {}
+
+
+def scratch_folder(spark) -> str:
+    """A new folder name below the shared checkpoint folder; what is written there goes when the session's process ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4()}"
+    _scratch[path] = spark
+    return path
+
+
+def remove_folder(spark, path: str) -> None:
+    """Delete a folder that ``scratch_folder`` named; other folders are left alone."""
+    if _scratch.pop(path, None) is not None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    for path, spark in list(_scratch.items()):
+        with contextlib.suppress(Exception):  # the session may have ended before
+            remove_folder(spark, path)
+
+
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Every later use sees the same rows, reads only the columns it needs, and does not depend on the executors that
-    computed them.
+    computed them. The files go at the end of the process, or earlier by ``remove_folder`` if the caller named ``path``.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4()}"
+    path = path or scratch_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
