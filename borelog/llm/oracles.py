@@ -1,5 +1,18 @@
 """SQL that gives the same rows as the registered queries."""
 
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP2 = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (
+    SELECT *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+),
+s AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, coalesce(k.doc_id > owner, false) AS dropped FROM k LEFT JOIN s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
 OP4 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
@@ -38,4 +51,4 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id
 """
 
-ORACLES = {"op4_exact_dedup": OP4, "op8_secret_scan": OP8}
+ORACLES = {"op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op8_secret_scan": OP8}

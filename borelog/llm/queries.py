@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import exact_dedup, secret_scan
+from borelog.llm import bpe, exact_dedup, line_dedup, secret_scan
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,6 +12,20 @@ def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    encoded = bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return encoded.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op2_line_dedup(spark, sf_dir):
+    docs, index = documents(spark, sf_dir), line_dedup.LineIndex(spark)
+    index.insert(docs)
+    return index.resolve(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -30,6 +44,8 @@ def op8_secret_scan(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op2_line_dedup": op2_line_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
 }
