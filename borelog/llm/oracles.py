@@ -21,6 +21,27 @@ FROM d JOIN g ON d.text = g.text
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP6 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+    SELECT x, y FROM c JOIN n p ON c.x = p.doc_id JOIN n q ON c.y = q.doc_id WHERE 100 * c.c >= 75 * (p.n + q.n - c.c)
+),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+m AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+SELECT m.doc_id, coalesce(n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept
+FROM m LEFT JOIN n ON m.doc_id = n.doc_id
+"""
+
+
 def _found(kind: str, place: int, pattern: str, keep: str) -> str:
     return f"""
     SELECT doc_id, {place} AS place, '{kind}' AS kind, m AS match,
@@ -51,4 +72,4 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id
 """
 
-ORACLES = {"op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op8_secret_scan": OP8}
+ORACLES = {"op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op6_minhash": OP6, "op8_secret_scan": OP8}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import bpe, exact_dedup, line_dedup, secret_scan
+from borelog.llm import bpe, exact_dedup, line_dedup, minhash, secret_scan
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -30,6 +30,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_minhash(spark, sf_dir):
+    return minhash.near_groups(documents(spark, sf_dir))
+
+
 def op8_secret_scan(spark, sf_dir):
     versions = documents(spark, sf_dir).select(F.col("doc_id").alias("path"), "text")
     found = secret_scan.BlobLedger(spark).scan(versions)
@@ -47,5 +51,6 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_minhash": op6_minhash,
     "op8_secret_scan": op8_secret_scan,
 }
