@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import bpe, exact_dedup, line_dedup, minhash, secret_scan
+from borelog.llm import bpe, exact_dedup, line_dedup, minhash, secret_scan, toxicity
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -30,6 +30,13 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    predicted = F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
 def op6_minhash(spark, sf_dir):
     return minhash.near_groups(documents(spark, sf_dir))
 
@@ -51,6 +58,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
     "op8_secret_scan": op8_secret_scan,
 }
