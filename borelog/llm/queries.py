@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import bpe, exact_dedup, line_dedup, minhash, secret_scan, toxicity
+from borelog.llm import bpe, exact_dedup, license_scan, line_dedup, minhash, secret_scan, toxicity
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -54,6 +54,15 @@ def op8_secret_scan(spark, sf_dir):
     )
 
 
+def op10_license_scan(spark, sf_dir):
+    found = license_scan.license_scan(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("matches", lambda m: m["name"]), ",").alias("licenses"),
+        F.array_join(F.transform("matches", lambda m: m["start"].cast("string")), ",").alias("starts"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -61,4 +70,5 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
     "op8_secret_scan": op8_secret_scan,
+    "op10_license_scan": op10_license_scan,
 }
