@@ -72,4 +72,25 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id
 """
 
-ORACLES = {"op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op6_minhash": OP6, "op8_secret_scan": OP8}
+OP9 = """
+WITH d AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+v AS (
+    SELECT doc_id, unnest(range(1, len(w) - 48)) AS i,
+        unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS g
+    FROM d WHERE len(w) >= 50
+),
+o AS (SELECT g, min(doc_id) AS owner FROM v GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+r AS (SELECT doc_id, list(i) AS starts FROM v JOIN o ON v.g = o.g WHERE doc_id > owner GROUP BY doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM (SELECT doc_id, unnest(starts) AS s FROM r)),
+x AS (SELECT d.doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (
+    SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) FILTER (c.i IS NULL) AS kept, count(c.i) AS n_removed
+    FROM x LEFT JOIN c ON x.doc_id = c.doc_id AND x.i = c.i GROUP BY x.doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+ORACLES = {"op9_substring_dedup": OP9, "op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op6_minhash": OP6, "op8_secret_scan": OP8}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import bpe, exact_dedup, license_scan, line_dedup, minhash, secret_scan, toxicity
+from borelog.llm import bpe, exact_dedup, license_scan, line_dedup, minhash, secret_scan, substring_dedup, toxicity
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -54,6 +54,11 @@ def op8_secret_scan(spark, sf_dir):
     )
 
 
+def op9_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_license_scan(spark, sf_dir):
     found = license_scan.license_scan(documents(spark, sf_dir))
     return found.select(
@@ -70,5 +75,6 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
     "op8_secret_scan": op8_secret_scan,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_license_scan": op10_license_scan,
 }
