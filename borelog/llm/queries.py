@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import bpe, exact_dedup, license_scan, line_dedup, minhash, secret_scan, substring_dedup, toxicity
+from borelog.llm import bpe, decontamination, exact_dedup, license_scan, line_dedup, minhash, secret_scan, substring_dedup, toxicity
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -26,6 +26,10 @@ def op2_line_dedup(spark, sf_dir):
     return index.resolve(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark, sf_dir):
+    return decontamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -71,6 +75,7 @@ def op10_license_scan(spark, sf_dir):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
