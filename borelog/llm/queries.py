@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from borelog.llm import bpe, decontamination, exact_dedup, license_scan, line_dedup, minhash, secret_scan, substring_dedup, toxicity
+from borelog.llm import (
+    bpe, decontamination, exact_dedup, license_scan, line_dedup, minhash, quality, secret_scan, substring_dedup, toxicity,
+)
 from borelog.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,14 +14,18 @@ def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def op1_bpe(spark, sf_dir):
+def token_digests(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    encoded = bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    encoded = bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return encoded.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_bpe(spark, sf_dir):
+    return token_digests(documents(spark, sf_dir))
+
+
 def op2_line_dedup(spark, sf_dir):
     docs, index = documents(spark, sf_dir), line_dedup.LineIndex(spark)
     index.insert(docs)
@@ -45,6 +51,10 @@ def op6_minhash(spark, sf_dir):
     return minhash.near_groups(documents(spark, sf_dir))
 
 
+def op7_quality(spark, sf_dir):
+    return quality.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_secret_scan(spark, sf_dir):
     versions = documents(spark, sf_dir).select(F.col("doc_id").alias("path"), "text")
     found = secret_scan.BlobLedger(spark).scan(versions)
@@ -79,6 +89,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
+    "op7_quality": op7_quality,
     "op8_secret_scan": op8_secret_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_license_scan": op10_license_scan,

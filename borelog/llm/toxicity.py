@@ -9,6 +9,7 @@ map fold into one number per n-gram, which is all that is broadcast.
 import math
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -136,15 +137,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, max_chars: in
     return train(*_sample(docs, labels, max_rows, max_chars))
 
 
-def score(docs: DataFrame, model, pieces: int = 256) -> DataFrame:
-    """Score whole texts: doc_id and score, the chance of label 1.
+def scorer(spark, model):
+    """A column function: the chance of label 1 of each whole text. The model, about 4 MB of fixed size, is broadcast."""
+    given = spark.sparkContext.broadcast(model)
 
-    A text without letters, a NULL and an empty one get the chance of the bias alone. A NULL doc_id and repeated rows are
-    kept; an empty table gives an empty result; other columns are ignored. Nothing is shuffled.
-    """
-    given = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
+    @F.pandas_udf("double")
+    def chance(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, bias = given.value
         weights, buckets = table.tolist(), len(table)
 
@@ -152,16 +150,22 @@ def score(docs: DataFrame, model, pieces: int = 256) -> DataFrame:
             rows = ngrams(w, buckets)
             return sum([weights[r] for r in rows]) / len(rows)
 
+        def one(text):
+            words = sorted(distinct_words(text))  # sums do not depend on the order of a set
+            odds = bias + sum(map(known, words)) / (len(words) + PADDING)
+            return 1 / (1 + math.exp(min(-odds, 700)))
+
         known = Memo(word)
+        for part in texts:
+            yield part.map(one)
+
+    return lambda text: chance(F.coalesce(text, F.lit("")))
 
-        for batch in batches:
-            for start in range(0, len(batch), pieces):
-                part, scores = batch.iloc[start : start + pieces], []
-                for text in part.text:
-                    words = sorted(distinct_words(text))  # sums do not depend on the order of a set
-                    odds = bias + sum(map(known, words)) / (len(words) + PADDING)
-                    scores.append(1 / (1 + math.exp(min(-odds, 700))))
-                yield pd.DataFrame({"doc_id": part.doc_id.array, "score": scores})
-
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, score double")
+
+def score(docs: DataFrame, model) -> DataFrame:
+    """Score whole texts: doc_id and score, the chance of label 1.
+
+    A text without letters, a NULL and an empty one get the chance of the bias alone. A NULL doc_id and repeated rows are
+    kept; an empty table gives an empty result; other columns are ignored. Nothing is shuffled.
+    """
+    return docs.select("doc_id", scorer(docs.sparkSession, model)(F.col("text")).alias("score"))
