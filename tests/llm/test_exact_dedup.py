@@ -1,0 +1,51 @@
+import hashlib
+import math
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from borelog.llm.exact_dedup import build_index, directory, exact_dedup
+
+
+def brute(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t or "", []).append(i)
+    out = []
+    for i, t in rows:
+        ids = [x for x in groups[t or ""] if x is not None]
+        keep = max(ids) if ids else None
+        out.append((i, keep, len(groups[t or ""]), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
+    return Counter(out)
+
+
+def test_groups_nulls_repeats_and_long_texts(frame):
+    long = "word " * 200_000
+    rows = [(1, "a"), (2, "a"), (3, None), (4, ""), (5, long), (6, long), (None, "a"), (None, "alone"), (7, "b"), (7, "b"), (8, "A")]
+    assert Counter(map(tuple, exact_dedup(frame(rows)).collect())) == brute(rows)
+
+
+def test_empty_table(frame):
+    assert exact_dedup(frame([])).collect() == []
+
+
+def test_many_buckets_give_the_same_result(frame):
+    rows = [(i, f"text {i % 37}") for i in range(300)]
+    assert Counter(map(tuple, exact_dedup(frame(rows), capacity=3).collect())) == brute(rows)
+
+
+def test_directory_splits_overfull_buckets_only(spark):
+    keys = spark.range(2000).select(F.xxhash64("id").alias("key"))
+    buckets = directory(keys, 2000, 100).collect()
+    assert sum(b.held for b in buckets) == 2000 and max(b.held for b in buckets) <= 100
+    assert math.isclose(sum(2.0 ** -b.depth for b in buckets), 1.0)  # the prefixes cover the key space once
+
+
+def test_texts_that_share_a_key_form_a_chain(frame, monkeypatch):
+    from borelog.llm import exact_dedup as module
+
+    plain = module.keyed
+    monkeypatch.setattr(module, "keyed", lambda docs: plain(docs).withColumn("key", F.lit(5).cast("long")))
+    rows = [(1, "a"), (2, "b"), (3, "a"), (4, "c")]
+    assert Counter(map(tuple, exact_dedup(frame(rows)).collect())) == brute(rows)
+    assert [len(r.chain) for r in build_index(frame(rows)).collect()] == [3]
