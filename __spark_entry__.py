@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from borelog.functions.scoring import register_forest
+from borelog.functions.scoring import register_batch_model, register_forest
 from borelog.functions.states import add_state_name, state_name
 from borelog.functions.table_functions import register_functions
 from borelog.operators import cleaning, features, metrics, newest, ordering, splitting, summaries, traces
 from borelog.operators.filling import forward_fill
 from borelog.plans import event_view, training
-from borelog.schema import MODEL_FEATURES, MODEL_TAGS
+from borelog.schema import MODEL_FEATURES, MODEL_TAGS, SCAN_CAP
 from borelog.sources.episodes import normalise_episodes
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files
 from borelog.sources.tags import tags_long
@@ -26,9 +28,9 @@ from oracles import ORACLES
 
 try:
     import corpus_pipeline
-    from borelog.llm import queries as llm_queries
+    import borelog.llm.queries as llm_queries
 except ModuleNotFoundError as error:
-    if (error.name or "") not in ("corpus_pipeline", "borelog.llm"):
+    if error.name not in ("corpus_pipeline", "borelog.llm", "borelog.llm.queries"):
         raise
     corpus_pipeline = llm_queries = None
 
@@ -37,6 +39,11 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(event_view.episodes_from_events(spark, sf_dir))
 
 
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that models and table functions read."""
+    return forward_fill(_clean(spark, sf_dir))
+
+
 def _scored(spark, sf_dir):
     """Observations with a fixed rule in the place of a model, so that SQL can compute the same predictions."""
     pressure, temperature = F.coalesce("P-PDG", F.lit(0.0)), F.coalesce("P-TPT", F.lit(0.0))
@@ -54,30 +61,50 @@ def _single(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
 
 
-def _sql(statement: str, with_model: bool = False, scan_cap: int | None = 1000):
+def _sql(statement: str, with_model: Callable | None = None, scan_cap: int | None = None):
     def run(spark, sf_dir):
-        observations = _clean(spark, sf_dir)
-        observations.createOrReplaceTempView("well_data")
-        name = register_forest(spark, _model(spark, sf_dir)) if with_model else None
+        _filled(spark, sf_dir).createOrReplaceTempView("well_data")
+        name = with_model(spark, sf_dir) if with_model else None
         register_functions(spark, "well_data", name, scan_cap)
         return spark.sql(statement)
 
     return run
 
 
+@functools.cache
 def _split_table(spark, sf_dir):
-    """The filled observations, written once as a training job would find them, with their split."""
-    return splitting.stratified_split(materialise(forward_fill(_clean(spark, sf_dir))))
+    """The filled observations, written once per session as a training job would find them, with their split."""
+    return splitting.stratified_split(materialise(_filled(spark, sf_dir)))
 
 
+@functools.cache
 def _model(spark, sf_dir):
-    return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"), num_trees=10)
+    """The forest of the training part, fitted once per session."""
+    return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"))
 
 
 def _held_out(spark, sf_dir):
-    rows = _split_table(spark, sf_dir)
-    model = training.train_state_model(rows.where("NOT is_test"), num_trees=10)
-    return training.apply_model(model, rows.where("is_test")), training.class_scores(model)
+    model = _model(spark, sf_dir)
+    return training.apply_model(model, _split_table(spark, sf_dir).where("is_test")), training.class_scores(model)
+
+
+def _forest_function(spark, sf_dir):
+    return register_forest(spark, _model(spark, sf_dir))
+
+
+def _rule_function(spark, sf_dir):
+    """A fixed rule where a loaded model would be, so that SQL can compute the same predictions."""
+
+    def load():
+        pressure, temperature = MODEL_FEATURES.index("P-PDG"), MODEL_FEATURES.index("P-TPT")
+
+        def predict(rows):
+            rows = np.nan_to_num(rows, nan=0.0)
+            return np.where(rows[:, pressure] > 60, 8.0, np.where(rows[:, temperature] > 80, 3.0, 0.0))
+
+        return predict
+
+    return register_batch_model(spark, load, "rule_model")
 
 
 def _features(spark, sf_dir, **options):
@@ -152,6 +179,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forward_fill_short_gaps": lambda s, d: forward_fill(_clean(s, d), max_gap="12 hours"),
         "latest_n_obs": lambda s, d: newest.latest_n_obs(_clean(s, d)),
         "latest_n_obs_uncapped": lambda s, d: newest.latest_n_obs(_clean(s, d), scan_cap=None),
+        "latest_n_obs_capped": lambda s, d: newest.latest_n_obs(_clean(s, d), scan_cap=SCAN_CAP),
         "latest_n_obs_one_well": lambda s, d: newest.latest_n_obs(_clean(s, d), well=19, n=10),
         "latest_filled": lambda s, d: newest.latest_n_obs(forward_fill(_clean(s, d)), scan_cap=None),
         "latest_n_obs_pruned": lambda s, d: newest.latest_n_obs(_clean(s, d), scan_cap=None, prune_days=True),
@@ -159,7 +187,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "most_recent_obs": lambda s, d: newest.most_recent_obs(_clean(s, d)),
         "sql_latest_n_obs": _sql("SELECT * FROM latest_n_obs()"),
         "sql_latest_n_obs_uncapped": _sql("SELECT * FROM latest_n_obs(n_obs_param => 3)", scan_cap=None),
+        "sql_latest_n_obs_capped": _sql("SELECT * FROM latest_n_obs()", scan_cap=SCAN_CAP),
+        "sql_latest_n_obs_many": _sql("SELECT * FROM latest_n_obs(n_obs_param => 2000)"),
         "sql_most_recent_obs": _sql("SELECT * FROM most_recent_obs(19)"),
+        "sql_most_recent_obs_all": _sql("SELECT * FROM most_recent_obs()"),
         "sql_well_time_bounds": _sql("SELECT * FROM well_time_bounds()"),
         "sql_well_failure_counts": _sql("SELECT * FROM well_failure_counts()"),
         "sort_series": lambda s, d: ordering.sort_series(_clean(s, d)),
@@ -192,8 +223,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_props": lambda s, d: s.read.parquet(f"{d}/events.parquet").select(
             "event_id", F.variant_get(F.parse_json("props"), "$.k", "int").alias("k")
         ),
-        "predict_state": lambda s, d: training.predict_state(_model(s, d), _clean(s, d)),
-        "sql_predict_state": _sql("SELECT * FROM predict_state()", with_model=True),
+        "predict_state": lambda s, d: training.predict_state(_model(s, d), _filled(s, d)),
+        "sql_predict_state": _sql("SELECT * FROM predict_state()", _forest_function),
+        "sql_predict_state_rule": _sql("SELECT * FROM predict_state()", _rule_function),
         "feature_importance": lambda s, d: training.feature_importance(_model(s, d), _clean(s, d)),
         "model_report": lambda s, d: metrics.class_report(_held_out(s, d)[0]),
         "model_auc": lambda s, d: metrics.weighted_ovr_auc(*_held_out(s, d)),

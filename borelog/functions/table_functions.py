@@ -3,8 +3,9 @@
 from pyspark.sql import SparkSession
 
 from borelog.operators.newest import LATEST_COLUMNS, RECENT_COLUMNS
-from borelog.schema import MODEL_FEATURES, SCAN_CAP, STATE_NAMES
+from borelog.schema import MODEL_FEATURES, STATE_NAMES
 
+# Names, parameters and defaults of the functions below.
 WELL_COMMENT = "Well number, a whole number; -1 takes all wells"
 
 
@@ -12,15 +13,15 @@ def register_functions(
     spark: SparkSession,
     observations: str = "well_data",
     model_function: str | None = None,
-    scan_cap: int | None = SCAN_CAP,
+    scan_cap: int | None = None,
     temporary: bool = True,
     schema: str | None = None,
 ) -> None:
     """Create ``state_name`` and the table functions that read the view or table ``observations``.
 
     ``latest_n_obs(well, n)``, ``most_recent_obs(well)``, ``well_time_bounds(well)``, ``well_failure_counts(well)``
-    and, given the name of a function of the array of model features, ``predict_state(well, n)``. ``scan_cap`` is fixed at
-    creation, because SQL takes no parameter in LIMIT. Functions that are not ``temporary`` go into ``schema`` and need
+    and, given the name of a function of the array of model features, ``predict_state(well, n)``. ``scan_cap``, if any, is
+    fixed at creation, because SQL takes no parameter in LIMIT. Ties in time go by ``source_file``, then by row content. Functions that are not ``temporary`` go into ``schema`` and need
     a table and a model function that are permanent too; Spark calls table functions without a qualifier, so ``USE`` the
     schema first. Bodies are inlined into the calling query, so a constant well
     number reaches the Parquet scan as a pushed filter and -1 leaves no filter behind.
@@ -39,7 +40,8 @@ def register_functions(
         return ", ".join(f"`{c}`" for c in listed)
 
     spark.sql(f"{create} {home}state_name(code INT) RETURNS STRING RETURN get(array({names}), code)")
-    cap = "" if scan_cap is None else f"ORDER BY timestamp DESC, source_file LIMIT {scan_cap}"
+    newest_first = f"timestamp DESC, source_file, xxhash64({listing(types)})"
+    cap = "" if scan_cap is None else f"ORDER BY {newest_first} LIMIT {scan_cap}"
     spark.sql(f"""
         {create} {home}latest_n_obs({well}, n_obs_param INT DEFAULT 5 COMMENT 'How many observations per well')
         RETURNS TABLE ({columns(LATEST_COLUMNS)})
@@ -47,7 +49,7 @@ def register_functions(
         RETURN
         WITH newest AS (SELECT * FROM {chosen} {cap}),
         ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY well_number ORDER BY timestamp DESC, source_file) AS nth
+            SELECT *, row_number() OVER (PARTITION BY well_number ORDER BY {newest_first}) AS nth
             FROM newest
         )
         SELECT {listing(LATEST_COLUMNS)} FROM ranked WHERE nth <= n_obs_param
@@ -57,7 +59,7 @@ def register_functions(
         COMMENT 'The newest observation of each state of a well, or of every well'
         RETURN
         WITH ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY well_number, state ORDER BY timestamp DESC, source_file) AS nth
+            SELECT *, row_number() OVER (PARTITION BY well_number, state ORDER BY {newest_first}) AS nth
             FROM {chosen}
         )
         SELECT {listing(RECENT_COLUMNS)} FROM ranked WHERE nth = 1

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from borelog.support import BROADCAST_ROWS, materialise, same_keys, small_side
 
@@ -41,7 +41,7 @@ def forward_fill(
     if longest_series <= max_chunk_rows:
         chunk = keys
     else:
-        held = held.withColumn("_day", F.to_date(order_col))
+        held = held.withColumn("_day", _day(observations, order_col))
         chunk = [*keys, "_day"]
         if longest_day > max_chunk_rows:
             held = add_slice(held, chunk, order, max_chunk_rows)
@@ -52,9 +52,7 @@ def forward_fill(
         order = ["_is_row", *order]
 
     so_far = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = held.select(*[
-        F.last(c, ignorenulls=True).over(so_far).alias(c) if c in fill_cols else F.col(c) for c in held.columns
-    ])
+    filled = held.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in fill_cols})
     if "_is_row" in filled.columns:
         filled = filled.where("_is_row")
     if max_gap:
@@ -63,9 +61,16 @@ def forward_fill(
     return filled.select(*observations.columns)
 
 
+def _day(rows: DataFrame, order_col: str) -> Column:
+    """Day of a time. Moments are cut by UTC days, which follow each other in every session time zone."""
+    if isinstance(rows.schema[order_col].dataType, T.TimestampType):
+        return F.floor(F.unix_micros(order_col) / F.lit(86_400_000_000))
+    return F.to_date(order_col)
+
+
 def _longest(rows: DataFrame, keys: Sequence[str], order_col: str) -> tuple[int, int]:
     """Rows of the longest series and of the longest day of a series, counted in one pass over the key columns."""
-    days = rows.groupBy(*keys, F.to_date(order_col).alias("_day")).agg(F.count("*").alias("_rows"))
+    days = rows.groupBy(*keys, _day(rows, order_col).alias("_day")).agg(F.count("*").alias("_rows"))
     series = days.groupBy(*keys).agg(F.sum("_rows").alias("_rows"), F.max("_rows").alias("_day_rows"))
     longest = series.agg(F.max("_rows"), F.max("_day_rows")).first()
     return longest[0] or 0, longest[1] or 0

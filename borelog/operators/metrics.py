@@ -24,8 +24,8 @@ def confusion_counts(scored: DataFrame, label: str = "state", prediction: str =
 
 
 def accuracy(scored: DataFrame, label: str = "state", prediction: str = "prediction") -> DataFrame:
-    """One row: the share of rows whose prediction equals the label."""
-    hit = F.col(label).eqNullSafe(F.col(prediction)).cast("bigint")
+    """One row: the share of rows whose prediction equals the label; a row without either is a miss."""
+    hit = F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("bigint")
     return scored.agg(F.try_divide(F.sum(hit), F.count("*")).alias("accuracy"))
 
 

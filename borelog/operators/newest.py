@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from borelog.operators.cleaning import for_well
-from borelog.schema import ALL_WELLS, SCAN_CAP
+from borelog.schema import ALL_WELLS
 from borelog.support import fetch_small, same_keys
 
 # The columns of the two table functions, in their order.
@@ -68,14 +68,14 @@ def latest_n_obs(
     observations: DataFrame,
     well: int = ALL_WELLS,
     n: int = 5,
-    scan_cap: int | None = SCAN_CAP,
+    scan_cap: int | None = None,
     tie_break: Sequence[str] = ("source_file",),
     prune_days: bool = False,
 ) -> DataFrame:
     """The ``n`` newest observations per well.
 
-    With ``scan_cap`` only the newest that many rows of all wells together are looked at, so quiet wells may be
-    missing; ``None`` looks at everything. A capped call takes the global top first and ranks inside it, which is the
+    Looks at everything by default. With ``scan_cap`` only the newest that many rows of all wells together are looked
+    at, so quiet wells may be missing. A capped call takes the global top first and ranks inside it, which is the
     same as ranking first, since the newest rows overall hold the newest of every well they touch.
     """
     rows = for_well(observations, well).select(*LATEST_COLUMNS, *[c for c in tie_break if c not in LATEST_COLUMNS])
@@ -96,7 +96,8 @@ def most_recent_obs(
 
 
 def _newest_first(rows, tie_break):
-    return [F.desc("timestamp"), *[F.asc(c) for c in tie_break if c in rows.columns]]
+    """Newest first, ties by ``tie_break`` and then by row content, so that the order of the input never shows."""
+    return [F.desc("timestamp"), *[F.asc(c) for c in tie_break if c in rows.columns], F.xxhash64(*rows.columns)]
 
 
 def _first_n(rows, groups, order, n):

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def sort_series(observations: DataFrame) -> DataFrame:
@@ -20,11 +20,20 @@ def row_range(rows: DataFrame, start: int, stop: int, *order) -> DataFrame:
     return rows.orderBy(*order).offset(start).limit(stop - start)
 
 
-def seeded_key(keys: Sequence[str], seed: int) -> Column:
-    """A hash of the key columns that is the same in every run, and in other SQL engines."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in keys]))
+def seeded_key(rows: DataFrame, keys: Sequence[str], seed: int) -> Column:
+    """A hash of the key columns that is the same in every run, session time zone and SQL engine.
+
+    Moments count as microseconds since 1970; NULL has a mark of its own, so it is not confused with a missing column.
+    """
+
+    def text(column):
+        moment = isinstance(rows.schema[column].dataType, T.TimestampType)
+        value = F.unix_micros(column) if moment else F.col(column)
+        return F.coalesce(value.cast("string"), F.lit("\\N"))
+
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *map(text, keys)))
 
 
 def seeded_sample(rows: DataFrame, keys: Sequence[str], n: int = 5, seed: int = 42) -> DataFrame:
     """``n`` rows picked by a hash of their keys."""
-    return rows.orderBy(seeded_key(keys, seed), *keys).limit(n)
+    return rows.orderBy(seeded_key(rows, keys, seed), *keys).limit(n)

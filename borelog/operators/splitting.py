@@ -27,7 +27,7 @@ def stratified_split(
     themselves stay where they are. Rows with the same keys are never parted, so copies cannot leak from training
     into test; if keys repeat, the test part is the smallest such set that reaches its target.
     """
-    hashed = rows.withColumn("_key", seeded_key(keys, seed))
+    hashed = rows.withColumn("_key", seeded_key(rows, keys, seed))
     digits = min(MAX_DIGITS, math.ceil(math.log(max(1.0, rows.count() / STRIP_ROWS), 16)))
     stripped = hashed.select(F.col(label).alias("_label"), "_key", F.substring("_key", 1, digits).alias("_strip"))
 

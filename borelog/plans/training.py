@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from borelog.operators.newest import latest_n_obs
-from borelog.schema import ALL_WELLS, MODEL_FEATURES, SCAN_CAP
+from borelog.schema import ALL_WELLS, MODEL_FEATURES
 
 # Learning rate, share of features and rows per tree, number of tree leaves (2 ** 5 > 31), seed.
 LEARNING_RATE = 0.1
@@ -32,7 +32,7 @@ def train_state_model(
 
     ``learner`` is ``forest`` (one multi-class random forest) or ``boosted`` (boosted trees, one class against the
     rest). Spark's trees reject missing values, so those that forward fill leaves are replaced by training medians,
-    and by 0 in a feature that the training rows never show.
+    and by 0 in a feature that the training rows never show. Rows without a label teach nothing and are left out.
     """
     tree = {"featuresCol": "features", "labelCol": "label", "predictionCol": "index", "seed": SEED}
     if learner == "forest":
@@ -48,7 +48,8 @@ def train_state_model(
     else:
         raise ValueError(f"unknown learner {learner}")
 
-    rows = training.select(*_doubles(features), F.col(label)).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = training.where(F.col(label).isNotNull())
+    rows = labelled.select(*_doubles(features), F.col(label)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seen = rows.agg(*[F.count(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in features]).first()
         training = rows.fillna(0.0, subset=[c for c in features if seen[c] == 0])
@@ -87,7 +88,7 @@ def class_scores(model: PipelineModel) -> Mapping[int, Column]:
 
 
 def predict_state(
-    model: PipelineModel, observations: DataFrame, well: int = ALL_WELLS, n: int = 10, scan_cap: int | None = SCAN_CAP
+    model: PipelineModel, observations: DataFrame, well: int = ALL_WELLS, n: int = 10, scan_cap: int | None = None
 ) -> DataFrame:
     """Predicted state of the newest ``n`` observations per well; only those rows reach the model."""
     newest = latest_n_obs(observations, well, n, scan_cap)

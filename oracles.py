@@ -75,10 +75,10 @@ def _newest(columns, partition, n, source="obs"):
 
 
 
-def _capped(n):
+def _capped(n, source="obs"):
     return f"""SELECT {LATEST} FROM (
         SELECT *, row_number() OVER (PARTITION BY well_number ORDER BY "timestamp" DESC, source_file) AS nth
-        FROM obs ORDER BY "timestamp" DESC, source_file LIMIT 1000
+        FROM {source} ORDER BY "timestamp" DESC, source_file LIMIT 1000
     ) WHERE nth <= {n}"""
 
 
@@ -204,6 +204,8 @@ SELECT well_number, {STATE_NAME} AS failure_type, count(*) AS failure_count FROM
 TIME_BOUNDS = OBSERVATIONS + """
 SELECT well_number, min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp FROM obs GROUP BY well_number"""
 
+FILLED_TABLE = OBSERVATIONS + ", filled AS (" + _fill(FILLED, "well_number", 'well_number, "timestamp"') + ") "
+
 FORWARD_FILL = OBSERVATIONS + _fill(FILLED, "well_number", 'well_number, "timestamp"')
 
 ORACLES = {
@@ -261,15 +263,22 @@ ORACLES = {
     ),
     "forward_fill_in_days": FORWARD_FILL,
     "forward_fill_short_gaps": OBSERVATIONS + _fill_short_gaps(12),
-    "latest_n_obs": OBSERVATIONS + _capped(5),
+    "latest_n_obs": OBSERVATIONS + NEWEST_PER_WELL,
+    "latest_n_obs_capped": OBSERVATIONS + _capped(5),
     "latest_n_obs_uncapped": OBSERVATIONS + NEWEST_PER_WELL,
     "latest_n_obs_one_well": OBSERVATIONS + _newest(LATEST, "well_number", 10) + " AND well_number = 19",
-    "latest_filled": OBSERVATIONS + ", filled AS (" + _fill(FILLED, "well_number", 'well_number, "timestamp"') + ") "
-        + _newest(LATEST, "well_number", 5, "filled"),
+    "latest_filled": FILLED_TABLE + _newest(LATEST, "well_number", 5, "filled"),
     "most_recent_obs": OBSERVATIONS + _newest(RECENT, "well_number, state", 1),
-    "sql_latest_n_obs": OBSERVATIONS + _capped(5),
-    "sql_latest_n_obs_uncapped": OBSERVATIONS + _newest(LATEST, "well_number", 3),
-    "sql_most_recent_obs": OBSERVATIONS + _newest(RECENT, "well_number, state", 1) + " AND well_number = 19",
+    "sql_latest_n_obs": FILLED_TABLE + _newest(LATEST, "well_number", 5, "filled"),
+    "sql_latest_n_obs_capped": FILLED_TABLE + _capped(5, "filled"),
+    "sql_latest_n_obs_many": FILLED_TABLE + _newest(LATEST, "well_number", 2000, "filled"),
+    "sql_latest_n_obs_uncapped": FILLED_TABLE + _newest(LATEST, "well_number", 3, "filled"),
+    "sql_most_recent_obs": FILLED_TABLE + _newest(RECENT, "well_number, state", 1, "filled") + " AND well_number = 19",
+    "sql_most_recent_obs_all": FILLED_TABLE + _newest(RECENT, "well_number, state", 1, "filled"),
+    "sql_predict_state_rule": FILLED_TABLE + f"""
+        SELECT well_number, "timestamp", CAST(CASE WHEN coalesce("P-PDG", 0) > 60 THEN 8
+            WHEN coalesce("P-TPT", 0) > 80 THEN 3 ELSE 0 END AS INTEGER) AS prediction
+        FROM ({_newest(LATEST, "well_number", 10, "filled")})""",
     "sql_well_time_bounds": TIME_BOUNDS,
     "sql_well_failure_counts": FAILURE_COUNTS,
     "sort_series": OBSERVATIONS + 'SELECT * FROM obs ORDER BY well_number, "timestamp"',

@@ -2,7 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from borelog.functions.table_functions import register_functions
+from borelog.operators.filling import forward_fill
 from borelog.operators.newest import latest_n_obs, most_recent_obs, newest_per_group
+from borelog.operators.ordering import seeded_key, seeded_sample
+from borelog.operators.splitting import stratified_split
 from borelog.sources.trees import write_table
 
 SCHEMA = (
@@ -17,8 +20,8 @@ def table(spark, at, rows):
 
 def test_cap_hides_quiet_wells(spark, at):
     rows = table(spark, at, [(1, s, 0, "f") for s in range(1000, 2200)] + [(2, 5, 0, "g")])
-    assert {r.well_number for r in latest_n_obs(rows).collect()} == {1}
-    assert {r.well_number for r in latest_n_obs(rows, scan_cap=None).collect()} == {1, 2}
+    assert {r.well_number for r in latest_n_obs(rows, scan_cap=1000).collect()} == {1}
+    assert {r.well_number for r in latest_n_obs(rows).collect()} == {1, 2}
     assert [r["P-PDG"] for r in latest_n_obs(rows, well=2).collect()] == [5.0]
 
 
@@ -86,3 +89,38 @@ def test_permanent_functions_over_a_table(spark, at, tmp_path):
         for name in names:
             spark.sql(f"DROP FUNCTION IF EXISTS default.{name}")
         spark.sql("DROP TABLE borelog_wells")
+
+
+def test_ties_do_not_follow_input_order(spark, at):
+    """Rows of one well, time and file differ in their readings only."""
+    row = lambda v: (at(0), float(v), 1.0, 1.0, 1.0, 1.0, 1.0, 0, 1, "f")
+    columns = "timestamp timestamp, `P-PDG` double, `T-JUS-CKP` double, `T-TPT` double, `P-TPT` double, `P-MON-CKP` double, `QGL` double, state int, well_number int, source_file string"
+    results = set()
+    for values in (range(8), reversed(range(8)), [3, 1, 7, 0, 2, 6, 5, 4]):
+        rows = spark.createDataFrame([row(v) for v in values], columns)
+        rows.createOrReplaceTempView("tied")
+        register_functions(spark, "tied")
+        found = [latest_n_obs(rows, n=2), most_recent_obs(rows), latest_n_obs(rows, n=2000, scan_cap=4)]
+        found += [spark.sql("SELECT * FROM latest_n_obs(-1, 2)"), spark.sql("SELECT * FROM most_recent_obs()")]
+        results.add(tuple(tuple(sorted(r["P-PDG"] for r in f.collect())) for f in found))
+    assert len(results) == 1
+
+
+@pytest.mark.parametrize("zone", ["America/Sao_Paulo", "Asia/Tokyo"])
+def test_samples_and_fills_do_not_follow_the_session_time_zone(spark, at, zone):
+    rows = spark.range(200).selectExpr("id AS well_number", "timestamp_micros(1700000000000000 + id * 3600000000) AS timestamp", "IF(id % 3 = 0, id, NULL) AS v")
+    rows = rows.withColumn("well_number", F.lit(1))
+    sample = lambda: {r.v for r in seeded_sample(rows, ["well_number", "timestamp"], 20).collect()}
+    fill = lambda: sorted(str(r.v) for r in forward_fill(rows, max_chunk_rows=20).collect())
+    split = lambda: stratified_split(rows.withColumn("state", F.lit(0)), keys=("well_number", "timestamp")).where("is_test").agg(F.sum("v")).first()[0]
+    before = sample(), fill(), split()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert (sample(), fill(), split()) == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_null_keys_have_their_own_hash(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert rows.select(seeded_key(rows, ["x", "y"], 1)).distinct().count() == 2
