@@ -80,13 +80,15 @@ def _split(batches):
 
 def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     """The smallest document of every window of a bucket's strings, as runs of equal documents."""
-    firsts, seconds, sizes = [], [], []
-    for packed in rows.packed:
-        hashes = word_hashes(packed, lower=False)
-        firsts.append(windows(hashes, K))
-        seconds.append(windows(scramble(hashes ^ MIX[2]), K))
-        sizes.append(len(firsts[-1]))
-    first, second, owner = np.concatenate(firsts), np.concatenate(seconds), np.repeat(rows.owner.to_numpy(), sizes)
+    hashes = [word_hashes(packed, lower=False) for packed in rows.packed]
+    words = np.array([len(h) for h in hashes])
+    sizes = words - K + 1
+    # Windows are hashed over all strings at once; those that reach over the end of one are left out.
+    joined = np.concatenate(hashes)
+    inside = np.repeat(np.cumsum(words) - K, words) >= np.arange(len(joined))
+    inside = inside[: len(joined) - K + 1]
+    first, second = windows(joined, K)[inside], windows(scramble(joined ^ MIX[2]), K)[inside]
+    owner = np.repeat(rows.owner.to_numpy(), sizes)
     order = np.lexsort((second, first))
     new = np.r_[True, (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])]
     least = np.minimum.reduceat(owner[order], np.flatnonzero(new))
