@@ -83,6 +83,17 @@ def _model(spark, sf_dir):
     return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"))
 
 
+@functools.cache
+def _boosted(spark, sf_dir):
+    return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"), learner="boosted")
+
+
+def _boosted_auc(spark, sf_dir):
+    model = _boosted(spark, sf_dir)
+    scored = training.apply_model(model, _split_table(spark, sf_dir).where("is_test"))
+    return metrics.weighted_ovr_auc(scored, training.class_scores(model))
+
+
 def _held_out(spark, sf_dir):
     model = _model(spark, sf_dir)
     return training.apply_model(model, _split_table(spark, sf_dir).where("is_test")), training.class_scores(model)
@@ -226,6 +237,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "predict_state": lambda s, d: training.predict_state(_model(s, d), _filled(s, d)),
         "sql_predict_state": _sql("SELECT * FROM predict_state()", _forest_function),
         "sql_predict_state_rule": _sql("SELECT * FROM predict_state()", _rule_function),
+        "sql_predict_state_boosted": _sql("SELECT * FROM predict_state()", lambda s, d: register_forest(s, _boosted(s, d))),
+        "boosted_importance": lambda s, d: training.feature_importance(_boosted(s, d), _clean(s, d)),
+        "boosted_auc": _boosted_auc,
         "feature_importance": lambda s, d: training.feature_importance(_model(s, d), _clean(s, d)),
         "model_report": lambda s, d: metrics.class_report(_held_out(s, d)[0]),
         "model_auc": lambda s, d: metrics.weighted_ovr_auc(*_held_out(s, d)),

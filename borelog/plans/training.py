@@ -72,14 +72,19 @@ def _doubles(features) -> list[Column]:
 
 
 def apply_model(model: PipelineModel, rows: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """Add ``prediction``, the predicted state code, and ``probability`` where the learner gives one."""
+    """Add ``prediction``, the predicted state code, and ``probability``, one number per class."""
     label = model.stages[0].getInputCol()
     kept = F.struct(*rows.columns).alias("_row")
     if label not in rows.columns:
         rows = rows.withColumn(label, F.lit(None).cast("int"))
     scored = model.transform(rows.select(kept, *_doubles(features), label))
-    probability = [vector_to_array("probability").alias("probability")] if "probability" in scored.columns else []
-    return scored.select("_row.*", F.col("predicted_label").cast("int").alias("prediction"), *probability)
+    if "probability" in scored.columns:
+        probability = vector_to_array("probability")
+    else:  # margins of one class against the rest: their logistic chances, scaled to one
+        chances = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+        total = F.aggregate(chances, F.lit(0.0), lambda a, b: a + b)
+        probability = F.transform(chances, lambda p: p / total)
+    return scored.select("_row.*", F.col("predicted_label").cast("int").alias("prediction"), probability.alias("probability"))
 
 
 def class_scores(model: PipelineModel) -> Mapping[int, Column]:
@@ -96,8 +101,10 @@ def predict_state(
 
 
 def feature_importance(model: PipelineModel, observations: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` features by importance in the forest; one small row per feature."""
-    importances = model.stages[3].featureImportances.toArray()
+    """The ``top`` features by importance, for boosted trees the mean over classes; one small row per feature."""
+    learner = model.stages[3]
+    parts = [m.featureImportances.toArray() for m in getattr(learner, "models", [learner])]
+    importances = sum(parts) / len(parts)
     features = [c.removesuffix(" filled") for c in model.stages[2].getInputCols()]
     rows = [(f, float(i)) for f, i in zip(features, importances)]
     table = observations.sparkSession.createDataFrame(rows, "feature string, importance double")

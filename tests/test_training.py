@@ -36,9 +36,22 @@ def test_forest_learns_and_returns_state_codes(labelled, forest):
     assert weighted_ovr_auc(scored, class_scores(forest)).first().weighted_auc > 0.9
 
 
-def test_boosted_trees(labelled):
+def test_boosted_trees(spark, labelled):
     model = train_state_model(labelled.limit(600), learner="boosted", num_trees=3, max_depth=3)
-    assert accuracy(apply_model(model, labelled)).first()[0] > 0.9
+    scored = apply_model(model, labelled)
+    assert accuracy(scored).first()[0] > 0.9
+    assert weighted_ovr_auc(scored, class_scores(model)).first().weighted_auc > 0.9
+    assert scored.where("abs(aggregate(probability, 0D, (a, b) -> a + b) - 1) > 1e-9").isEmpty()
+    assert feature_importance(model, labelled, top=1).first().feature == "P-PDG"
+    labelled.withColumn("P-JUS-CKP", F.lit(None).cast("double")).createOrReplaceTempView("boosted_rows")
+    register_functions(spark, "boosted_rows", register_forest(spark, model, "boosted_model"))
+    assert spark.sql("SELECT * FROM predict_state()").exceptAll(predict_state(model, labelled)).isEmpty()
+
+
+def test_rows_without_label_teach_nothing(labelled):
+    unlabelled = labelled.limit(50).withColumn("state", F.lit(None).cast("int"))
+    model = train_state_model(labelled.limit(600).unionByName(unlabelled), num_trees=2)
+    assert sorted(model.stages[0].labels) == ["0", "101", "8"]
 
 
 def test_unknown_learner(labelled):
