@@ -19,11 +19,12 @@ from borelog.operators import cleaning, features, metrics, newest, ordering, spl
 from borelog.operators.filling import forward_fill
 from borelog.plans import event_view, training
 from borelog.schema import MODEL_FEATURES, MODEL_TAGS, SCAN_CAP
-from borelog.sources.episodes import normalise_episodes
+from borelog.plans.tables import build_table, process_tree
+from borelog.sources.episodes import normalise_episodes, read_episodes, write_normalised
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files
 from borelog.sources.tags import tags_long
-from borelog.sources.trees import read_tree
-from borelog.support import materialise
+from borelog.sources.trees import read_table, read_tree
+from borelog.support import materialise, scratch_folder
 from oracles import ORACLES
 
 try:
@@ -152,6 +153,27 @@ def _united_files(spark, sf_dir):
     )
 
 
+@functools.cache
+def _episode_tree(spark, sf_dir):
+    """The events as a tree of episode files below the checkpoint folder, written once per session."""
+    folder = scratch_folder(spark)
+    write_normalised(normalise_episodes(event_view.episodes_from_events(spark, sf_dir)), folder)
+    return folder
+
+
+def _local_times(df: DataFrame) -> DataFrame:
+    """Without the paths of files, and with times as the events have them."""
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).drop("source_file")
+
+
+def _episode_table(spark, sf_dir):
+    """Clean, fill and overwrite a table of the session's catalog, twice, then read it."""
+    name, folder = f"episodes_{Path(sf_dir).name.replace('.', '_').replace('-', '_')}", scratch_folder(spark)
+    for _ in range(2):
+        build_table(spark, _episode_tree(spark, sf_dir), table=name, path=folder)
+    return _local_times(read_table(spark, name))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The newest observations of every well, cleaned, forward-filled and named."""
     filled = forward_fill(_clean(spark, "/root/testdata/sf0.001"))
@@ -231,6 +253,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             traces.first_trace(event_view.traces_from_conversations(s, d))
         ).drop("spans"),
         "evaluation_requests": _requests,
+        "traces_of_run": lambda s, d: traces.response_time_good(
+            traces.traces_of_run(event_view.traces_from_conversations(s, d), "7")
+        ).drop("spans"),
+        "episode_files": lambda s, d: _local_times(read_episodes(s, _episode_tree(s, d))),
+        "episode_table": _episode_table,
+        "process_tree": lambda s, d: _local_times(process_tree(s, _episode_tree(s, d))).select(
+            "well_number", "timestamp", "state", "state_name"
+        ),
         "json_props": lambda s, d: s.read.parquet(f"{d}/events.parquet").select(
             "event_id", F.variant_get(F.parse_json("props"), "$.k", "int").alias("k")
         ),

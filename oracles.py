@@ -325,6 +325,7 @@ ORACLES = {
     "first_trace": TRACES + f"""
         SELECT {TIMED} FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY turn DESC) AS nth FROM traces)
         WHERE nth = 1""",
+    "traces_of_run": TRACES + f"SELECT {TIMED} FROM traces WHERE run_id = '7'",
     "evaluation_requests": """
         SELECT conv_id, turn, 'user' AS role, text AS content, CAST(1 AS INTEGER) AS n_messages
         FROM conversations WHERE role = 'user'""",
@@ -332,6 +333,12 @@ ORACLES = {
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
 }
 ORACLES["series_features_bracketed"] = ORACLES["series_features"]
+_CUT = """SELECT * EXCLUDE (source_file) REPLACE (date_trunc('milliseconds', "timestamp") AS "timestamp") FROM """
+ORACLES["episode_files"] = EPISODES + _CUT + "episodes WHERE state IS NOT NULL"
+ORACLES["episode_table"] = FILLED_TABLE + _CUT + "filled"
+ORACLES["process_tree"] = OBSERVATIONS + f"""
+    SELECT well_number, date_trunc('milliseconds', "timestamp") AS "timestamp", state,
+        coalesce({STATE_NAME}, 'Unknown') AS state_name FROM obs"""
 ORACLES["ovr_auc_sliced"] = ORACLES["ovr_auc"]
 ORACLES["latest_n_obs_pruned"] = ORACLES["latest_n_obs_uncapped"]
 ORACLES["most_recent_obs_pruned"] = ORACLES["most_recent_obs"]
