@@ -1,5 +1,7 @@
 """Words and hashed word shingles of whole texts."""
 
+import functools
+
 import numpy as np
 import xxhash
 
@@ -20,14 +22,31 @@ def word_hashes(text: str, lower: bool = True) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+BASE, BLOCK = 0x5851F42D4C957F2D, 1 << 16
+
+
+@functools.cache
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.full(BLOCK, base, np.uint64)) * np.uint64(pow(base, -1, 2**64))
+
+
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` words; of the whole text if it has fewer words, and nothing if it has none."""
-    if len(hashes) < width:
-        width = len(hashes)
-    total = np.full(len(hashes) - width + 1 if width else 0, width, np.uint64)
-    for i in range(width):
-        total = total * MIX[0] + scramble(hashes[i : len(hashes) - width + 1 + i] + MIX[i % 5])
-    return scramble(total)
+    """Hash of each run of ``width`` words; of the whole text if it has fewer words, and nothing if it has none.
+
+    A run's hash is a polynomial in an odd base modulo 2**64, so sums of a prefix give all of them; long texts go in blocks.
+    """
+    width = min(width, len(hashes))
+    if not width:
+        return np.zeros(0, np.uint64)
+    parts, count = [], len(hashes) - width + 1
+    step = BLOCK - width + 1
+    if step < 1:
+        raise ValueError("a run is longer than a block")
+    for start in range(0, count, step):
+        part = hashes[start : start + BLOCK]
+        sums = np.r_[np.zeros(1, np.uint64), np.cumsum(scramble(part) * _powers(BASE)[: len(part)])]
+        parts.append((sums[width:] - sums[:-width]) * _powers(pow(BASE, -1, 2**64))[: len(part) - width + 1])
+    return scramble(np.concatenate(parts) + MIX[:1] * np.uint64(width))
 
 
 def shingle_set(text: str, width: int = 5) -> np.ndarray:

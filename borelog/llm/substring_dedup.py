@@ -17,15 +17,25 @@ from borelog.support import materialise, remove_folder, scratch_folder
 
 K, M = 50, 20
 LONGEST = 256
+PIECES = 256
 NO_ID = 2**63 - 1
 
 
+def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Least value of each run of ``width``, from runs of doubled length."""
+    have = 1
+    while 2 * have <= width:
+        values, have = np.minimum(values[:-have], values[have:]), 2 * have
+    rest = width - have
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
+
+
 def super_kmers(hashes: np.ndarray, salt: int = 0):
     """Start, number of windows and minimiser of each super-k-mer of a text's words; one has ``LONGEST`` windows at most."""
     if len(hashes) < K:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     runs = windows(hashes ^ np.uint64(salt), M)
-    least = np.lib.stride_tricks.sliding_window_view(runs, K - M + 1).min(axis=1)
+    least = _sliding_min(runs, K - M + 1)
     new = np.r_[True, least[1:] != least[:-1]]
     place = np.arange(len(least))
     since = place - np.maximum.accumulate(np.where(new, place, 0))
@@ -41,15 +51,13 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _cut(batches):
     """Narrow rows of all super-k-mers."""
     for batch in batches:
-        parts = []
-        for id_, row, text in zip(batch.id, batch.row, batch.text):
-            starts, counts, least = super_kmers(word_hashes(text, lower=False))
-            parts.append(pd.DataFrame({"minimiser": least, "id": id_, "row": row, "start": starts, "windows": counts}))
-            if sum(map(len, parts)) > 100_000:
-                yield pd.concat(parts)
-                parts = []
-        if parts:
-            yield pd.concat(parts)
+        for at in range(0, len(batch), PIECES):
+            part = batch.iloc[at : at + PIECES]
+            found = [super_kmers(word_hashes(text, lower=False)) for text in part.text]
+            sizes = [len(starts) for starts, _, _ in found]
+            starts, counts, least = (np.concatenate(x) for x in zip(*found))
+            ids, rows = np.repeat(part.id.to_numpy(), sizes), np.repeat(part.row.to_numpy(), sizes)
+            yield pd.DataFrame({"minimiser": least, "id": ids, "row": rows, "start": starts, "windows": counts})
 
 
 def _pack(batches):
