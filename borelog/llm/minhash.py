@@ -186,7 +186,8 @@ def near_groups(docs: DataFrame, percent: int = 75, block_shingles: int = 1 << 1
     routes = placed.where("id <> hub").select("hub", "block", "id").unionByName(
         placed.where("id = hub").select("hub", F.explode(every).alias("block"), "id")
     )
-    texts = _text(docs).withColumnRenamed("doc_id", "id")
+    # Merged at every size: a broadcast on small tables would hide how the plan grows.
+    texts = _text(docs).withColumnRenamed("doc_id", "id").hint("merge")
     found = [materialise(routes.join(texts, "id").groupBy("hub", "block").applyInPandas(within, "a long, b long"))]
     joined = materialise(components(found[0]))
     large = placed.where("blocks > 1")
