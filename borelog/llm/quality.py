@@ -44,7 +44,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """
     good = labels.where("quality IS NOT NULL").groupBy("doc_id").agg((F.max("quality") == 1).alias("good"))
     good = good.where(~held_out())
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(good, "doc_id", "left")
+    # Merged at every size: a broadcast on small tables would hide how the plan grows.
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).hint("merge").join(good, "doc_id", "left")
     counts = rows.select("text", F.coalesce("good", F.lit(False)).alias("good")).mapInPandas(_count, "bucket int, raw long, target long")
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
