@@ -3,7 +3,8 @@
 A window is ``K`` consecutive words, its minimiser the least hash of the runs of ``M`` words inside it, so equal windows
 have equal minimisers. Consecutive windows with one minimiser form a super-k-mer. Only super-k-mers whose minimiser occurs
 in two documents are packed as strings and sent to its bucket; equal strings become one row on the way. A bucket sorts the
-windows of its strings and finds the smallest document of each.
+windows of its strings and finds the smallest document of each. Where very many strings agree in two minimisers, as they do
+at the edges of a passage that many documents hold, the windows themselves are dealt out by their hashes.
 """
 
 import hashlib
@@ -13,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from borelog.llm.shingles import MIX, scramble, windows, word_hashes
-from borelog.support import materialise, remove_folder, scratch_folder
+from borelog.support import materialise, remove_folder, scratch_folder, small_side
 
 K, M = 50, 20
 LONGEST = 256
@@ -86,6 +87,24 @@ def _split(batches):
         yield pd.DataFrame(out, columns=["minimiser", "second", "sid", "offset", "packed", "owner"])
 
 
+def _window_hashes(hashes: np.ndarray):
+    """Two 64-bit hashes of each window."""
+    return windows(hashes, K), windows(scramble(hashes ^ MIX[2]), K)
+
+
+def _list_windows(batches):
+    """Narrow rows of all windows of strings."""
+    for batch in batches:
+        for at in range(0, len(batch), PIECES):
+            part = batch.iloc[at : at + PIECES]
+            found = [_window_hashes(word_hashes(packed, lower=False)) for packed in part.packed]
+            sizes = [len(first) for first, _ in found]
+            first, second = (np.concatenate(x).view(np.int64) for x in zip(*found))
+            repeated = {c: np.repeat(part[c].to_numpy(), sizes) for c in ("sid", "offset", "owner")}
+            place = np.concatenate([np.arange(n) for n in sizes])
+            yield pd.DataFrame({"first": first, "other": second, **repeated, "place": place})
+
+
 def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     """The smallest document of every window of a bucket's strings, as runs of equal documents."""
     hashes = [word_hashes(packed, lower=False) for packed in rows.packed]
@@ -95,7 +114,7 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     joined = np.concatenate(hashes)
     inside = np.repeat(np.cumsum(words) - K, words) >= np.arange(len(joined))
     inside = inside[: len(joined) - K + 1]
-    first, second = windows(joined, K)[inside], windows(scramble(joined ^ MIX[2]), K)[inside]
+    first, second = (x[inside] for x in _window_hashes(joined))
     owner = np.repeat(rows.owner.to_numpy(), sizes)
     order = np.lexsort((second, first))
     new = np.r_[True, (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])]
@@ -112,6 +131,21 @@ def _resolve(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"sid": rows.sid.array, "offset": rows.offset.array, "lengths": lengths, "owners": owners})
 
 
+def _resolve_apart(strings: DataFrame, path: str) -> DataFrame:
+    """What ``_resolve`` finds, for strings of which too many would meet: every window goes by its own hash.
+
+    The smallest documents are combined in the scanning task first, so a window of very many strings is one row per task.
+    """
+    listed = strings.select("sid", "offset", "packed", "owner")
+    listed = materialise(listed.mapInPandas(_list_windows, "first long, other long, sid binary, offset int, owner long, place int"), path)
+    least = listed.groupBy("first", "other").agg(F.min("owner").alias("least"), F.max("owner").alias("last"))
+    # A window of one document only keeps the owner of its string.
+    least = least.where("least < last").drop("last")
+    judged = listed.join(least, ["first", "other"], "left").select("sid", "offset", "place", F.coalesce("least", "owner").alias("least"))
+    runs = judged.groupBy("sid", "offset").agg(F.array_sort(F.collect_list(F.struct("place", "least"))).alias("found"))
+    return runs.select("sid", "offset", F.transform("found", lambda f: F.lit(1)).alias("lengths"), F.col("found.least").alias("owners"))
+
+
 def _keep(batches):
     for batch in batches:
         out = []
@@ -141,11 +175,12 @@ def remove_repeats(docs: DataFrame, bucket_rows: int = 5_000) -> DataFrame:
     the others; rows without doc_id are one document after all others. An empty table gives an empty result; other columns
     are ignored.
 
-    ``bucket_rows`` is the number of strings that one task sorts at a time; a minimiser with more different strings is cut
-    again by a second minimiser, so that they spread over many tasks.
+    ``bucket_rows`` is the number of strings that one task sorts at a time. The strings of a minimiser with more different
+    ones are cut again by a second minimiser. Strings around one passage mostly agree in that one as well; where more than
+    ``bucket_rows`` agree in both, their windows are spread over all tasks by their own hashes.
     """
     spark, rows = docs.sparkSession, _rows(docs)
-    paths = [scratch_folder(spark) for _ in range(3)]
+    paths = [scratch_folder(spark) for _ in range(5)]
     cut = materialise(rows.drop("doc_id").mapInPandas(_cut, "minimiser long, id long, row long, start int, windows int"), paths[0])
     shared = cut.groupBy("minimiser").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("minimiser")
     wanted = cut.join(shared, "minimiser").groupBy("row").agg(F.collect_set(F.struct("start", "windows", "minimiser")).alias("wanted"))
@@ -163,11 +198,16 @@ def remove_repeats(docs: DataFrame, bucket_rows: int = 5_000) -> DataFrame:
     many = met.where(F.col("crowd") > bucket_rows).mapInPandas(
         _split, "minimiser long, second long, sid binary, offset int, packed string, owner long"
     )
+    many = materialise(many, paths[3])
+    cells = many.groupBy("minimiser", "second").agg(F.count("*").alias("held")).where(F.col("held") > bucket_rows)
+    cells = small_side(cells.drop("held"))
+    apart = many.join(cells, ["minimiser", "second"], "left_semi")
+    many = many.join(cells, ["minimiser", "second"], "left_anti")
     n_buckets = max(1, strings.count() // bucket_rows)
     bucket = F.pmod(F.xxhash64("minimiser", "second"), F.lit(n_buckets)).alias("bucket")
     dealt = few.unionByName(many).select(bucket, "sid", "offset", "packed", "owner")
     resolved = dealt.groupBy("bucket").applyInPandas(_resolve, "sid binary, offset int, lengths array<int>, owners array<long>")
-    owners = alone.unionByName(resolved)
+    owners = alone.unionByName(resolved).unionByName(_resolve_apart(apart, paths[4]))
     older = F.exists("owners", lambda o: o < F.col("id"))
     found = packs.select("sid", "id", "row", "start").distinct().join(owners, "sid").where(older).groupBy("row").agg(
         F.collect_list(F.struct((F.col("start") + F.col("offset")).alias("start"), "lengths", "owners")).alias("found")

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from borelog.llm import substring_dedup
 from borelog.llm.substring_dedup import K, remove_repeats
 
 
@@ -46,3 +47,19 @@ def test_empty_and_long(frame):
     long = " ".join(str(rng.randint(0, 10**6)) for _ in range(50_000))
     found = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(frame([(1, long), (2, "first " + long)])).collect()}
     assert found == {1: (50_000, 0), 2: (50_001, 50_000)}
+
+
+def test_passage_of_very_many_documents(frame, monkeypatch):
+    """The strings around the edges of a common passage agree in both minimisers; they do not meet in one bucket."""
+    rng, resolve, bucket_rows = random.Random(3), substring_dedup._resolve, 40
+    words = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passage = words(80)
+    rows = [(i, " ".join(words(60) + passage + words(60))) for i in range(1_000)]
+
+    def checked(strings):
+        assert len(strings) <= 4 * bucket_rows, f"{len(strings)} strings in one bucket"
+        return resolve(strings)
+
+    monkeypatch.setattr(substring_dedup, "_resolve", checked)
+    found = remove_repeats(frame(rows), bucket_rows=bucket_rows).collect()
+    assert sorted(map(tuple, found)) == brute(rows)
