@@ -45,7 +45,8 @@ def build_index(docs: DataFrame, capacity: int = 1_000_000) -> DataFrame:
 
     ``chain`` has one entry (text_sha256, keep_id, group_size) for each different text with that key. Copies of one text
     meet in the scanning tasks first, so a text that fills a third of the table is one row per task when it is shuffled.
-    Texts whose key occurs once take no part in the comparison. The index is written to the shared folder.
+    Texts are compared whole where the shuffle brings equal ones together; those whose key occurs once get no chain. The
+    index is written to the shared folder.
     """
     rows = keyed(docs)
     keys = materialise(rows.groupBy("key").agg(F.count("*").alias("n")))
@@ -57,10 +58,12 @@ def build_index(docs: DataFrame, capacity: int = 1_000_000) -> DataFrame:
         .join(buckets.drop("held"), ["depth", "prefix"])
     )
     owned = materialise(owned.repartitionByRange("key").sortWithinPartitions("key"))
-    texts = rows.join(owned, "key").groupBy("depth", "prefix", "key", "text").agg(
-        F.max(DOC).alias("keep_id"), F.count("*").alias("group_size")
-    )
-    link = F.struct(F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+    # Copies are merged before the join, which would bring all of them to one task; only digests go on from here.
+    texts = rows.groupBy("key", "text").agg(F.max(DOC).alias("keep_id"), F.count("*").alias("group_size"))
+    texts = texts.select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+    # Merged at every size: a broadcast on small tables would hide how the plan grows.
+    texts = texts.join(owned.hint("merge"), "key")
+    link = F.struct("text_sha256", "keep_id", "group_size")
     return materialise(texts.groupBy("depth", "prefix", "key").agg(F.array_sort(F.collect_list(link)).alias("chain")))
 
 
@@ -74,7 +77,7 @@ def exact_dedup(docs: DataFrame, capacity: int = 1_000_000) -> DataFrame:
     chains = build_index(docs, capacity).select(F.col("key"), "chain")
     rows = keyed(docs).select(DOC, "key", F.sha2("text", 256).alias("text_sha256"))
     link = F.get(F.filter("chain", lambda c: c["text_sha256"] == F.col("text_sha256")), F.lit(0))
-    found = rows.join(chains, "key", "left").withColumn("link", link)
+    found = rows.join(chains.hint("merge"), "key", "left").withColumn("link", link)
     keep = F.when(F.col("link").isNull(), F.col(DOC)).otherwise(F.col("link.keep_id"))
     return found.select(
         DOC, keep.alias("keep_id"), F.coalesce("link.group_size", F.lit(1).cast("long")).alias("group_size"),

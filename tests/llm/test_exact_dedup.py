@@ -49,3 +49,36 @@ def test_texts_that_share_a_key_form_a_chain(frame, monkeypatch):
     rows = [(1, "a"), (2, "b"), (3, "a"), (4, "c")]
     assert Counter(map(tuple, exact_dedup(frame(rows)).collect())) == brute(rows)
     assert [len(r.chain) for r in build_index(frame(rows)).collect()] == [3]
+
+
+def test_copies_are_merged_before_texts_are_shuffled(spark, frame, monkeypatch):
+    """Without broadcasts, as on large tables, every shuffle that carries texts has an aggregation right before it."""
+    from borelog.llm import exact_dedup as module
+
+    plans, write = [], module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df: plans.append(df._jdf.queryExecution().executedPlan()) or write(df))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        build_index(frame([(i, "copy" if i % 3 else f"text {i}") for i in range(90)]))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+    def below(node):
+        children = node.children()
+        return [children.apply(i) for i in range(children.size())]
+
+    def shuffles(node):
+        found = [node] if node.nodeName() == "Exchange" else []
+        return found + [x for child in below(node) for x in shuffles(child)]
+
+    carrying = [e for plan in plans for e in shuffles(plan) if "text#" in e.output().mkString(",")]
+    assert carrying
+    for node in carrying:
+        child = below(node)[0]
+        while child.nodeName().startswith("WholeStageCodegen"):
+            child = below(child)[0]
+        assert "Aggregate" in child.nodeName()
