@@ -1,8 +1,9 @@
 """Exact dedup over an extendible-hash index on shared files, in DataFrame operations only.
 
 Every text has a 64-bit key. A directory of key prefixes says which bucket owns a key: it starts with one bucket, and
-where a bucket holds more keys than its capacity the directory doubles and the bucket splits by the next bit. Owners
-compare whole texts byte by byte and keep, per key, a chain of the different texts that share it.
+where a bucket holds more keys than its capacity the directory doubles and the bucket splits by the next bit. Whole texts
+are compared byte by byte, and each key has a chain of the different texts that share it. The directory names a key's
+bucket in the index; it routes no rows, as Spark's hash shuffle brings equal texts and keys together.
 """
 
 import math
