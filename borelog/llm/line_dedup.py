@@ -222,16 +222,17 @@ class LineIndex:
 
         def add(table, keys, before):
             if len(keys) and (before + len(keys) > SLOTS * LOAD * len(table) or not _insert(table, *_places(keys, len(table)))):
-                raise OverflowError
+                return table, -1
             return table, before + len(keys)
 
         fill = new.groupBy(self._shard()).count().join(self._read_filters(), "shard", "left")
         room = F.coalesce(F.length("cells") / 2, F.lit(2 * SLOTS)) * LOAD
         tight = fill.where(F.coalesce("n_keys", F.lit(0)) + F.col("count") > room).limit(1).count()
+        if not tight:
+            self._change_filters(new, add)
+            tight = self._read_filters().where("n_keys < 0").limit(1).count()  # keys that found no free place
         if tight:
             self._rebuild(self.live().select("key").distinct(), total)
-        else:
-            self._change_filters(new, add)
 
     def delete(self, ids: DataFrame) -> None:
         """Take documents (doc_id) out. Keys that nobody holds any more leave the filters."""

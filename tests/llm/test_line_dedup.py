@@ -70,3 +70,31 @@ def test_batches_and_deletions(spark, frame, shard_keys):
     assert index._read_filters().groupBy().sum("n_keys").first()[0] == live.count()
     index.insert(frame(rows[:30]))
     assert resolved(index, frame(rows)) == brute(rows)
+
+
+def test_query_asks_the_filters(spark, monkeypatch):
+    """The registered query puts documents in by more than one batch, so that the filters are read."""
+    from borelog.llm import line_dedup, queries
+
+    asked, ask = [], line_dedup.LineIndex.maybe_known
+
+    def counted(self, keys):
+        asked.append({r.maybe for r in ask(self, keys).select("maybe").distinct().collect()})
+        return ask(self, keys)
+
+    monkeypatch.setattr(line_dedup.LineIndex, "maybe_known", counted)
+    queries.op2_line_dedup(spark, "/root/testdata/sf0.001")
+    assert asked == [{True, False}]
+
+
+def test_filter_without_free_places_is_built_again(spark, frame, monkeypatch):
+    from borelog.llm import line_dedup
+
+    index = line_dedup.LineIndex(spark)
+    index.insert(frame([(1, "the first line of all\nand another")]))
+    rebuilt, rebuild = [], index._rebuild
+    monkeypatch.setattr(line_dedup, "_insert", lambda *_: False)
+    monkeypatch.setattr(line_dedup, "build_filter", lambda keys, n_keys=None: line_dedup.np.zeros((2, 4), line_dedup.np.uint16))
+    monkeypatch.setattr(index, "_rebuild", lambda keys, n: rebuilt.append(n))
+    index.insert(frame([(2, "a line that is new to it")]))
+    assert rebuilt == [3]
