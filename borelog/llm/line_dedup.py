@@ -211,7 +211,7 @@ class LineIndex:
             self.refs.append(path)
             return
         asked = materialise(self.maybe_known(rows.select("key").distinct()))
-        held = self.live().join(asked.where("maybe").select("key"), "key", "left_semi").select("key").distinct()
+        held = self.live().select("key").distinct().join(asked.where("maybe").select("key"), "key", "left_semi")
         new = materialise(asked.select("key").join(held, "key", "left_anti"))
         self.refs.append(path)
         known = self._read_filters().agg(F.sum("n_keys")).first()[0] or 0
