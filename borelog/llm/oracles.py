@@ -93,4 +93,93 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
-ORACLES = {"op9_substring_dedup": OP9, "op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op6_minhash": OP6, "op8_secret_scan": OP8}
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+l AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines, ('0x' || h[1:8])::BIGINT AS h1,
+        ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+),
+c AS (
+    SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+        greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+            THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l
+),
+p AS (
+    SELECT doc_id, text, n, form, coalesce(array_to_string(lines[1:a], ''), '') AS pre,
+        coalesce(array_to_string(lines[a + 1:b], ''), '') AS mid, coalesce(array_to_string(lines[b + 1:], ''), '') AS suf FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP12 = """
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+h AS (
+    SELECT page_id, translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, '://([^/?#]*)([^?#]*)', 2) AS path FROM u
+),
+r AS (
+    SELECT *, CASE
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM h
+),
+g AS (
+    SELECT *, CASE WHEN rule IS NOT NULL OR NOT starts_with(path, '/') THEN NULL WHEN contains(host, 'cheap-pills') THEN '*cheap-pills*/**'
+        WHEN contains(host, 'free-bets') THEN '*free-bets*/**' WHEN contains(host, 'casino') THEN '*casino*/**' END AS mark FROM r
+)
+SELECT page_id, host, path, rule, mark AS "glob",
+    CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR mark IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM g
+"""
+
+_APART = "list_sum(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+
+
+def _assigned(number: int) -> str:
+    return f"""
+a{number} AS (
+    SELECT i, vec_id, v, d[1] AS distance, d[2] AS k FROM (
+        SELECT q.i, any_value(q.vec_id) AS vec_id, any_value(q.v) AS v, min([{_APART}, c.k]) AS d FROM q, c{number} c GROUP BY q.i
+    )
+)"""
+
+
+def _moved(number: int) -> str:
+    return f"""
+c{number + 1} AS (
+    SELECT k, list(((s - ((s % n) + n) % n) // n) ORDER BY pos) AS v FROM (
+        SELECT k, pos, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{number}) GROUP BY k, pos
+    ) GROUP BY k
+    UNION ALL SELECT k, v FROM c{number} WHERE k NOT IN (SELECT k FROM a{number})
+)"""
+
+
+_ROUNDS = ",".join(step(i) for i in range(10) for step in (_assigned, _moved))
+OP13 = f"""
+WITH q AS (
+    SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x) AND abs(x) < 16384)) = 64
+),
+c0 AS (
+    SELECT (row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::BIGINT AS k, v FROM q
+    QUALIFY row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) <= 8
+),{_ROUNDS},{_assigned(10)},
+s AS (SELECT k, sum(distance)::BIGINT AS cluster_inertia FROM a10 GROUP BY k)
+SELECT vec_id, a10.k::INTEGER AS cluster, distance, cluster_inertia, (SELECT sum(distance) FROM a10)::BIGINT AS inertia,
+    sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM a10 JOIN s ON a10.k = s.k JOIN c10 ON a10.k = c10.k
+"""
+
+ORACLES = {
+    "op2_line_dedup": OP2, "op4_exact_dedup": OP4, "op6_minhash": OP6, "op8_secret_scan": OP8, "op9_substring_dedup": OP9,
+    "op11_fill_in_middle": OP11, "op12_url_filter": OP12, "op13_centroids": OP13,
+}

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from borelog.llm import (
-    bpe, decontamination, exact_dedup, license_scan, line_dedup, minhash, quality, secret_scan, substring_dedup, toxicity,
+    bpe, centroids, decontamination, exact_dedup, fill_in_middle, license_scan, line_dedup, minhash, quality, secret_scan,
+    substring_dedup, toxicity, url_filter,
 )
 from borelog.llm.oracles import ORACLES
 
@@ -83,6 +84,30 @@ def op10_license_scan(spark, sf_dir):
     )
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    cut = fill_in_middle.fill_in_middle(documents(spark, sf_dir))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op12_url_filter(spark, sf_dir):
+    return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_centroids(spark, sf_dir):
+    found = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    per_cluster = found.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia"))
+    whole = per_cluster.agg(F.try_sum("cluster_inertia").alias("inertia"))
+    # At most one row per centroid.
+    sums = F.broadcast(per_cluster.crossJoin(F.broadcast(whole)))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.join(sums, "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -94,4 +119,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_url_filter": op12_url_filter,
+    "op13_centroids": op13_centroids,
 }
