@@ -98,10 +98,12 @@ def op12_url_filter(spark, sf_dir):
 
 def op13_centroids(spark, sf_dir):
     found = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
-    per_cluster = found.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia"))
-    whole = per_cluster.agg(F.try_sum("cluster_inertia").alias("inertia"))
-    # At most one row per centroid.
-    sums = F.broadcast(per_cluster.crossJoin(F.broadcast(whole)))
+    # One row per centroid: their sums pass through the driver.
+    sums = found.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia")).collect()
+    parts = [row.cluster_inertia for row in sums]
+    inertia = None if None in parts or sum(parts) >= 1 << 63 else sum(parts)
+    rows = [(*row, inertia) for row in sums]
+    sums = F.broadcast(spark.createDataFrame(rows, "cluster int, cluster_inertia long, inertia long"))
     digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
     return found.join(sums, "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
