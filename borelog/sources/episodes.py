@@ -1,14 +1,13 @@
-"""Raw episode files: any timestamp precision in, one clean layout out."""
+"""Raw episode files: any types and units of time in, one clean layout out."""
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from borelog.schema import EPISODE_SCHEMA, RAW_COLUMNS
+from borelog.sources.footers import read_typed
 from borelog.sources.trees import read_tree, scan_tree
 
-NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
-
 
 def declared_schema(sample: T.StructType, columns: Sequence[str]) -> T.StructType:
     """Schema to read ``columns`` with, whichever of them a single file has; a file that lacks one gives NULL.
@@ -22,35 +21,25 @@ def declared_schema(sample: T.StructType, columns: Sequence[str]) -> T.StructTyp
     return T.StructType([T.StructField(c, special.get(c, T.DoubleType())) for c in columns])
 
 
-def raw_schema(spark: SparkSession, root: str, pattern: str = "*.parquet") -> T.StructType:
-    """Schema of a raw tree, with ``timestamp`` as the integer it is stored as."""
-    before = spark.conf.get(NANOS_AS_LONG, None)
-    spark.conf.set(NANOS_AS_LONG, "true")
-    try:
-        sample = read_tree(spark, root, pattern).schema
-    finally:
-        if before is None:
-            spark.conf.unset(NANOS_AS_LONG)
-        else:
-            spark.conf.set(NANOS_AS_LONG, before)
-    as_integer = [T.StructField("timestamp", T.LongType())]
-    return declared_schema(T.StructType([f for f in sample if f.name != "timestamp"] + as_integer), RAW_COLUMNS)
-
+RAW_TYPES = {c: T.DoubleType() for c in RAW_COLUMNS} | {"state": T.LongType(), "timestamp": T.TimestampType()}
 
-def epoch_to_timestamp(column: str):
-    """Timestamp, cut to the millisecond, of an epoch count in milli-, micro- or nanoseconds.
 
-    The unit is read off the size of the number, which is unambiguous from March 1973 on.
-    """
-    per_milli = f"CASE WHEN abs(`{column}`) >= 1e17 THEN 1000000L WHEN abs(`{column}`) >= 1e14 THEN 1000L ELSE 1L END"
-    return F.expr(f"timestamp_millis((`{column}` - pmod(`{column}`, {per_milli})) div ({per_milli}))")
+def raw_tree(
+    spark: SparkSession, root: str, pattern: str = "*.parquet", epoch_unit: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of raw files that may differ in their types and units of time, and the files that cannot be read."""
+    return read_typed(spark, root, RAW_TYPES, pattern, epoch_unit)
 
 
-def read_raw_episodes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Read raw files whose timestamps may differ in precision, nanoseconds included, in one scan."""
-    schema = raw_schema(spark, root, pattern)
-    raw = scan_tree(spark, root, pattern, schema)
-    return raw.withColumn("timestamp", epoch_to_timestamp("timestamp"))
+def read_raw_episodes(
+    spark: SparkSession, root: str, pattern: str = "*.parquet", epoch_unit: str | None = None
+) -> DataFrame:
+    """``raw_tree`` for trees in which every file must be readable; raises ValueError with the first that is not."""
+    rows, quarantine = raw_tree(spark, root, pattern, epoch_unit)
+    bad = quarantine.orderBy("path").first()
+    if bad is not None:
+        raise ValueError(f"cannot read {bad.path}: {bad.reason}")
+    return rows
 
 
 def normalise_episodes(raw: DataFrame) -> DataFrame:

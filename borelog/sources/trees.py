@@ -1,5 +1,8 @@
 """Parquet trees and tables."""
 
+import re
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -42,6 +45,13 @@ def scan_tree(
     return reader.parquet(str(root)).withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def scan_files(spark: SparkSession, paths: Sequence[str], schema) -> DataFrame:
+    """The rows of some files, given by their paths as ``list_files`` names them."""
+    literal = [re.sub(r"([\[\]{}*?,\\])", r"\\\1", path) for path in paths]
+    reader = spark.read.option("recursiveFileLookup", True).schema(schema)
+    return reader.parquet(*literal).withColumn("source_file", F.col("_metadata.file_path"))
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Path and size of every file under ``root``; the contents are not read."""
     return (

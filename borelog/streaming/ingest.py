@@ -1,26 +1,32 @@
 """Incremental ingest: each run handles the files that earlier runs have not seen."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from borelog.sources.episodes import epoch_to_timestamp, normalise_episodes, raw_schema
+from borelog.sources.episodes import RAW_TYPES, normalise_episodes
+from borelog.sources.footers import epoch_to_timestamp, time_unit
 
 
 def stream_raw_episodes(
     spark: SparkSession, root: str, pattern: str = "*.parquet", max_files: int | None = None
 ) -> DataFrame:
-    """Stream of raw rows with ``source_file``; ``max_files`` bounds the files of one micro-batch."""
+    """Stream of raw rows with ``source_file``; ``max_files`` bounds the files of one micro-batch.
+
+    A stream has one schema: times are scanned as the integers they are stored as, and the footer of a row's own file says
+    their unit. A file that stores ``state`` as a real number, or times without a unit, fails the batch, which is never
+    half-written; ``sources.ledger`` takes such files.
+    """
+    types = {c: T.LongType() if c in ("state", "timestamp") else kind for c, kind in RAW_TYPES.items()}
     reader = (
-        spark.readStream.schema(raw_schema(spark, root, pattern))
+        spark.readStream.schema(T.StructType([T.StructField(c, kind) for c, kind in types.items()]))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
     )
     if max_files and max_files > 0:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(root).withColumns({
-        "timestamp": epoch_to_timestamp("timestamp"),
-        "source_file": F.col("_metadata.file_path"),
-    })
+    rows = reader.parquet(root).withColumn("source_file", F.col("_metadata.file_path"))
+    unit = time_unit("source_file", F.lit("timestamp"))
+    return rows.withColumn("timestamp", epoch_to_timestamp("timestamp", unit))
 
 
 def ingest_new_files(

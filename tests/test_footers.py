@@ -1,0 +1,146 @@
+"""Trees whose files store the same columns in different ways, or cannot be read at all."""
+
+import datetime as dt
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from borelog.plans.tables import normalise_tree
+from borelog.sources.episodes import raw_tree, read_episodes, read_raw_episodes
+from borelog.sources.footers import epoch_to_timestamp, footer_catalogue, read_readable, time_unit, unreadable
+
+EARLY, LATE = dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2017, 2, 1, 1, 2, 3, 456789)
+
+
+def write(path, start=LATE, unit="ns", state=pa.int64(), sensor=pa.float64(), states=(0, 8, None), time=None, **options):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    if unit == "ms":  # Arrow would cut towards 1970
+        start -= dt.timedelta(microseconds=start.microsecond % 1000)
+    micros = pa.array([int((start - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) + i * 1_000_000 for i in range(3)])
+    stored = micros.cast(pa.timestamp("us")).cast(pa.timestamp(unit), safe=False) if time is None else micros.cast(time)
+    table = pa.table({"P-PDG": pa.array([1, None, 3], sensor), "state": pa.array(states, state), "timestamp": stored})
+    pq.write_table(table, path, version="2.6", **options)
+
+
+def seen(rows):
+    return {(r.source_file.rsplit("/", 1)[1], r.timestamp, r.state, r["P-PDG"]) for r in rows.collect()}
+
+
+def expected(name, start, states=(0, 8, None), sensors=(1.0, None, 3.0), second=dt.timedelta(seconds=1)):
+    cut = start - dt.timedelta(microseconds=start.microsecond % 1000)
+    return {(name, cut + i * second, s, p) for i, (s, p) in enumerate(zip(states, sensors))}
+
+
+@pytest.fixture
+def mixed(tmp_path):
+    root = tmp_path / "raw tree"
+    ways = [
+        (unit, state, sensor, start)
+        for unit in ("ns", "us", "ms") for state in (pa.int64(), pa.int32(), pa.float64()) for sensor in (pa.float64(), pa.int64())
+        for start in (EARLY, LATE)
+    ]
+    wanted = set()
+    for i, (unit, state, sensor, start) in enumerate(ways):
+        name = f"WELL-{i:05d}_x.parquet"
+        write(root / f"{i % 3}[a]" / name, start, unit, state, sensor)
+        wanted |= expected(name, start)
+    return root, wanted
+
+
+def test_every_way_of_storing_in_one_tree(spark, mixed):
+    root, wanted = mixed
+    before = dict(spark.sql("SET").collect())
+    rows, bad = raw_tree(spark, str(root))
+    assert seen(rows) == wanted and bad.isEmpty()
+    assert dict(spark.sql("SET").collect()) == before
+    # A scan for each unit of time, type of state and type of sensor, 32-bit integers among the 64-bit ones.
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 3 * 2 * 2
+
+
+def test_normalised_mixed_tree(spark, mixed, tmp_path):
+    root, wanted = mixed
+    normalise_tree(spark, str(root), str(tmp_path / "clean"))
+    rows = read_episodes(spark, str(tmp_path / "clean"))
+    assert {(r.timestamp, r.state) for r in rows.collect()} == {w[1:3] for w in wanted if w[2] is not None}
+    assert rows.count() == sum(w[2] is not None for w in wanted)
+
+
+def test_narrow_types_old_timestamps_and_dictionaries(spark, tmp_path):
+    write(tmp_path / "a.parquet", sensor=pa.float32(), state=pa.int8(), use_dictionary=False)
+    write(tmp_path / "b.parquet", sensor=pa.int32(), state=pa.int16())
+    write(tmp_path / "c.parquet", use_deprecated_int96_timestamps=True, state=pa.float32())
+    rows = read_raw_episodes(spark, str(tmp_path))
+    assert seen(rows) == expected("a.parquet", LATE) | expected("b.parquet", LATE) | expected("c.parquet", LATE)
+
+
+def test_files_that_cannot_be_read_are_listed(spark, tmp_path):
+    root = tmp_path / "raw"
+    write(root / "0" / "good.parquet", unit="ms")
+    whole = (root / "0" / "good.parquet").read_bytes()
+    (root / "0" / "torn.parquet").write_bytes(whole[: len(whole) // 2])
+    (root / "0" / "empty.parquet").write_bytes(b"\n")
+    (root / "0" / "nothing.parquet").write_bytes(b"")  # without a byte it holds no row and is listed nowhere
+    write(root / "1" / "text.parquet", state=pa.string(), states=("0", "8", None))
+    write(root / "1" / "unsigned.parquet", state=pa.uint64())
+    write(root / "1" / "unitless.parquet", time=pa.int64())
+    rows, bad = raw_tree(spark, str(root))
+    assert seen(rows) == expected("good.parquet", LATE)
+    reasons = {r.path.rsplit("/", 1)[1]: r.reason for r in bad.collect()}
+    assert set(reasons) == {"torn.parquet", "empty.parquet", "text.parquet", "unsigned.parquet", "unitless.parquet"}
+    assert reasons["unitless.parquet"] == "timestamp is stored as INT64" and reasons["text.parquet"].startswith("state is stored as BYTE_ARRAY")
+    assert "Parquet" in reasons["torn.parquet"]
+    with pytest.raises(ValueError, match="empty.parquet"):
+        read_raw_episodes(spark, str(root))
+    rows, bad = raw_tree(spark, str(root), epoch_unit="us")
+    assert "unitless.parquet" not in {r.path.rsplit("/", 1)[1] for r in bad.collect()}
+    assert expected("unitless.parquet", LATE) <= seen(rows)
+    with pytest.raises(ValueError, match="matches"):
+        raw_tree(spark, str(root), "*.csv")
+
+
+def test_a_tree_of_bad_files_only(spark, tmp_path):
+    (tmp_path / "torn.parquet").write_bytes(b"PAR1PAR1")
+    rows, bad = raw_tree(spark, str(tmp_path))
+    assert rows.isEmpty() and bad.count() == 1
+    with pytest.raises(ValueError, match="no readable"):
+        read_readable(spark, str(tmp_path))
+
+
+def test_a_state_that_is_no_whole_number(spark, tmp_path):
+    write(tmp_path / "a.parquet", state=pa.float64(), states=(1.0, float("nan"), None))
+    assert {r.state for r in read_raw_episodes(spark, str(tmp_path)).collect()} == {1, None}
+    write(tmp_path / "b.parquet", state=pa.float64(), states=(1.5, 2.0, None))
+    with pytest.raises(Exception, match="not a whole number"):
+        read_raw_episodes(spark, str(tmp_path)).collect()
+
+
+def test_readable_files_beside_a_quarantine_list(spark, tmp_path):
+    pq.write_table(pa.table({"a": [1, 2]}), tmp_path / "good one.parquet")
+    pq.write_table(pa.table({"a": [3], "b": ["x"]}), tmp_path / "other.parquet")
+    (tmp_path / "torn file.parquet").write_bytes(b"PAR1 not a parquet file")
+    rows, bad = read_readable(spark, str(tmp_path), merge_schema=True)
+    assert sorted((r.a, r.b) for r in rows.collect()) == [(1, None), (2, None), (3, "x")]
+    row, = bad.collect()
+    assert row.path.endswith("torn file.parquet") and row["size"] == 23 and row.reason
+    rows, _ = read_readable(spark, str(tmp_path), schema="a bigint")
+    assert rows.count() == 3
+
+
+def test_catalogue(spark, tmp_path):
+    write(tmp_path / "a.parquet", unit="us", sensor=pa.float32())
+    catalogue = footer_catalogue(spark, str(tmp_path))
+    row, = catalogue.collect()
+    assert row.n_rows == 3 and row.error is None and row["size"] == (tmp_path / "a.parquet").stat().st_size
+    assert {k: tuple(v) for k, v in row["columns"].items()} == {"P-PDG": ("FLOAT", ""), "state": ("INT64", ""), "timestamp": ("INT64", "us")}
+    assert unreadable(catalogue).isEmpty()
+
+
+def test_units_of_a_stream(spark, tmp_path):
+    for unit in ("ns", "ms"):
+        write(tmp_path / f"{unit} x.parquet", start=EARLY, unit=unit)
+    rows = spark.read.schema("timestamp bigint").parquet(str(tmp_path)).withColumn("source_file", F.col("_metadata.file_path"))
+    times = rows.select(epoch_to_timestamp("timestamp", time_unit("source_file", F.lit("timestamp"))).alias("t"))
+    start = EARLY.replace(microsecond=999000)
+    assert sorted(r.t for r in times.collect()) == sorted([start + dt.timedelta(seconds=i) for i in range(3)] * 2)
