@@ -20,7 +20,7 @@ from borelog.operators.filling import forward_fill
 from borelog.plans import event_view, training
 from borelog.schema import MODEL_FEATURES, MODEL_TAGS, SCAN_CAP
 from borelog.plans.tables import build_table, process_tree
-from borelog.sources.episodes import normalise_episodes, read_episodes, write_normalised
+from borelog.sources.episodes import normalise_episodes, read_episodes, read_raw_episodes, write_normalised
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files
 from borelog.sources.tags import tags_long
 from borelog.sources.trees import read_table, read_tree
@@ -72,19 +72,35 @@ def _sql(statement: str, with_model: Callable | None = None, scan_cap: int | Non
     return run
 
 
-@functools.cache
+def _per_input(make):
+    """Keep what ``make`` returns for a session and folder until a file of the folder's events changes."""
+    kept = {}
+
+    @functools.wraps(make)
+    def cached(spark, sf_dir):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+        listed = files.load(f"{sf_dir}/events.parquet").agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")))
+        key = spark, sf_dir, listed.first()[0]
+        if key not in kept:
+            kept[key] = make(spark, sf_dir)
+        return kept[key]
+
+    return cached
+
+
+@_per_input
 def _split_table(spark, sf_dir):
     """The filled observations, written once per session as a training job would find them, with their split."""
     return splitting.stratified_split(materialise(_filled(spark, sf_dir)))
 
 
-@functools.cache
+@_per_input
 def _model(spark, sf_dir):
     """The forest of the training part, fitted once per session."""
     return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"))
 
 
-@functools.cache
+@_per_input
 def _boosted(spark, sf_dir):
     return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"), learner="boosted")
 
@@ -153,7 +169,7 @@ def _united_files(spark, sf_dir):
     )
 
 
-@functools.cache
+@_per_input
 def _episode_tree(spark, sf_dir):
     """The events as a tree of episode files below the checkpoint folder, written once per session."""
     folder = scratch_folder(spark)
@@ -161,6 +177,14 @@ def _episode_tree(spark, sf_dir):
     return folder
 
 
+@_per_input
+def _raw_tree(spark, sf_dir):
+    """The events as raw files of every way of storing, written once per session."""
+    folder = scratch_folder(spark)
+    event_view.write_raw_files(event_view.episodes_from_events(spark, sf_dir), folder)
+    return folder
+
+
 def _local_times(df: DataFrame) -> DataFrame:
     """Without the paths of files, and with times as the events have them."""
     return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).drop("source_file")
@@ -258,6 +282,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ).drop("spans"),
         "episode_files": lambda s, d: _local_times(read_episodes(s, _episode_tree(s, d))),
         "episode_table": _episode_table,
+        "raw_files": lambda s, d: _local_times(normalise_episodes(read_raw_episodes(s, _raw_tree(s, d)))),
         "process_tree": lambda s, d: _local_times(process_tree(s, _episode_tree(s, d))).select(
             "well_number", "timestamp", "state", "state_name"
         ),

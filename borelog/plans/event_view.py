@@ -1,8 +1,12 @@
 """The test tables read as well data: events as sensor rows, conversations as agent traces, pages as a file listing."""
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from borelog.schema import SPANS_TYPE
+from borelog.sources.footers import file_system
 
 # How event types stand for states; ``view`` stands for an unlabelled row.
 EVENT_STATES = {"click": 0, "error": 8, "purchase": 3, "signup": 101}
@@ -42,6 +46,33 @@ def episodes_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW_WAYS = tuple((unit, state) for unit in ("ns", "us", "ms") for state in ("int64", "int32", "double"))
+
+
+def write_raw_files(episodes: DataFrame, root: str) -> None:
+    """Episodes as raw files, one per task, that differ in the unit of their times and in the type of ``state``."""
+    columns = [c for c in episodes.columns if c != "source_file"]
+
+    def write(batches):
+        number = TaskContext.get().partitionId()
+        unit, state = RAW_WAYS[number % len(RAW_WAYS)]
+        rows = [pa.Table.from_batches([batch]) for batch in batches]
+        if not rows:
+            return
+        table = pa.concat_tables(rows)
+        times = table["timestamp"].cast(pa.timestamp("us")).cast(pa.timestamp(unit), safe=False)
+        table = table.set_column(table.schema.get_field_index("timestamp"), "timestamp", times)
+        table = table.set_column(table.schema.get_field_index("state"), "state", table["state"].cast(state))
+        store, folder = file_system(f"{root}/{number % 3}")
+        store.create_dir(folder)
+        with store.open_output_stream(f"{folder}/WELL-{number:05d}.parquet") as file:  # a task that runs again writes it again
+            pq.write_table(table, file, version="2.6")
+        yield pa.record_batch({"n": pa.array([len(table)], pa.int64())})
+
+    # One task writes a file: as many rows as fit its memory.
+    episodes.select(*columns).repartition(2 * len(RAW_WAYS), "timestamp").mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
+
 def traces_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn as the one-span trace of a run (its conversation).
 

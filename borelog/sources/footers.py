@@ -23,13 +23,12 @@ UNITS = {"milliseconds": "ms", "microseconds": "us", "nanoseconds": "ns"}
 PER_MILLI = {"ms": 1, "us": 1000, "ns": 1_000_000}
 
 
-def _open(path: str):
-    """A file by its path as Spark lists it. Only the ranges asked for are read."""
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a path as Spark names it, and the place in it."""
     scheme, colon, rest = path.partition(":")
     if not colon or scheme == "file":
-        return pafs.LocalFileSystem().open_input_file(re.sub("^/+", "/", rest if colon else path))
-    store, place = pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
-    return store.open_input_file(place)
+        return pafs.LocalFileSystem(), re.sub("^/+", "/", rest if colon else path)
+    return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def _logical(column) -> str:
@@ -45,7 +44,8 @@ def _logical(column) -> str:
 
 def _read(path: str) -> tuple:
     try:
-        with _open(path) as file:
+        store, place = file_system(path)
+        with store.open_input_file(place) as file:  # reads only the ranges asked for
             footer = pq.ParquetFile(file).metadata
             schema = footer.schema
             columns = {schema.column(i).path: (schema.column(i).physical_type, _logical(schema.column(i))) for i in range(len(schema))}
