@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from borelog.functions.scoring import register_batch_model, register_forest
+from borelog.functions.scoring import register_batch_model
 from borelog.functions.states import add_state_name, state_name
 from borelog.functions.table_functions import register_functions
+from borelog.functions.tree_sql import create_model_function
 from borelog.operators import cleaning, features, metrics, newest, ordering, splitting, summaries, traces
 from borelog.operators.filling import forward_fill
 from borelog.plans import event_view, training
-from borelog.schema import MODEL_FEATURES, MODEL_TAGS, SCAN_CAP
+from borelog.plans.boosting import BoostingSettings, train_boosted
+from borelog.schema import MODEL_FEATURES, SCAN_CAP
 from borelog.plans.tables import build_table, process_tree
 from borelog.sources.episodes import normalise_episodes, read_episodes, read_raw_episodes, write_normalised
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files
@@ -62,9 +64,9 @@ def _single(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
 
 
-def _sql(statement: str, with_model: Callable | None = None, scan_cap: int | None = None):
+def _sql(statement: str, with_model: Callable | None = None, scan_cap: int | None = None, source: Callable = _filled):
     def run(spark, sf_dir):
-        _filled(spark, sf_dir).createOrReplaceTempView("well_data")
+        source(spark, sf_dir).createOrReplaceTempView("well_data")
         name = with_model(spark, sf_dir) if with_model else None
         register_functions(spark, "well_data", name, scan_cap)
         return spark.sql(statement)
@@ -88,36 +90,71 @@ def _per_input(make):
     return cached
 
 
+def _graded(spark, sf_dir):
+    """Filled observations with a pressure in steps of ten, and the state that it alone decides."""
+    pressure = F.floor(F.col("P-PDG") / 10) * 10.0
+    state = F.when(pressure >= 60, 8).when(pressure >= 30, 3).otherwise(0)
+    return _filled(spark, sf_dir).where(F.col("P-PDG").isNotNull()).withColumns({"P-PDG": pressure, "state": state})
+
+
+@_per_input
+def _graded_split(spark, sf_dir):
+    """Rows for the forest, written once per session as a training job would find them, with their split."""
+    return splitting.stratified_split(materialise(_graded(spark, sf_dir)))
+
+
 @_per_input
-def _split_table(spark, sf_dir):
-    """The filled observations, written once per session as a training job would find them, with their split."""
-    return splitting.stratified_split(materialise(_filled(spark, sf_dir)))
+def _forest(spark, sf_dir):
+    return training.train_state_model(_graded_split(spark, sf_dir).where("NOT is_test"))
 
 
 @_per_input
-def _model(spark, sf_dir):
-    """The forest of the training part, fitted once per session."""
-    return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"))
+def _bare_split(spark, sf_dir):
+    """Rows for the boosted trees: not filled, so that which sensor is missing tells the state."""
+    return splitting.stratified_split(materialise(_clean(spark, sf_dir)))
 
 
 @_per_input
 def _boosted(spark, sf_dir):
-    return training.train_state_model(_split_table(spark, sf_dir).where("NOT is_test"), learner="boosted")
+    return training.train_state_model(_bare_split(spark, sf_dir).where("NOT is_test"), "boosted", num_trees=10)
+
+
+@_per_input
+def _graded_boosted(spark, sf_dir):
+    """Trees on two states that one threshold of the pressure tells apart, so that nothing else can gain."""
+    rows = _graded_split(spark, sf_dir).where("NOT is_test").withColumn("state", F.when(F.col("P-PDG") >= 60, 8).otherwise(0))
+    return train_boosted(rows, settings=BoostingSettings(rounds=3, feature_share=1.0))
+
 
+def _held_out(split, model):
+    def scored(spark, sf_dir):
+        fitted = model(spark, sf_dir)
+        return training.apply_model(fitted, split(spark, sf_dir).where("is_test")), training.class_scores(fitted)
 
-def _boosted_auc(spark, sf_dir):
-    model = _boosted(spark, sf_dir)
-    scored = training.apply_model(model, _split_table(spark, sf_dir).where("is_test"))
-    return metrics.weighted_ovr_auc(scored, training.class_scores(model))
+    return scored
 
 
-def _held_out(spark, sf_dir):
-    model = _model(spark, sf_dir)
-    return training.apply_model(model, _split_table(spark, sf_dir).where("is_test")), training.class_scores(model)
+_forest_held_out, _boosted_held_out = _held_out(_graded_split, _forest), _held_out(_bare_split, _boosted)
+
+
+def _report(scored):
+    return _single(metrics.class_report(scored), "precision", "recall", "f1_score")
+
+
+def _auc(scored, scores):
+    return _single(metrics.weighted_ovr_auc(scored, scores), "weighted_auc")
+
+
+def _leading_feature(model):
+    def run(spark, sf_dir):
+        return _single(training.feature_importance(model(spark, sf_dir), _clean(spark, sf_dir), top=1), "importance")
+
+    return run
 
 
-def _forest_function(spark, sf_dir):
-    return register_forest(spark, _model(spark, sf_dir))
+def _function_of(model):
+    """A permanent function of the session's catalog, made of the model's trees."""
+    return lambda spark, sf_dir: create_model_function(spark, model(spark, sf_dir), f"state_{model.__name__.strip('_')}", temporary=False)
 
 
 def _rule_function(spark, sf_dir):
@@ -289,15 +326,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_props": lambda s, d: s.read.parquet(f"{d}/events.parquet").select(
             "event_id", F.variant_get(F.parse_json("props"), "$.k", "int").alias("k")
         ),
-        "predict_state": lambda s, d: training.predict_state(_model(s, d), _filled(s, d)),
-        "sql_predict_state": _sql("SELECT * FROM predict_state()", _forest_function),
+        "predict_state": lambda s, d: training.predict_state(_forest(s, d), _graded(s, d)),
+        "sql_predict_state": _sql("SELECT * FROM predict_state()", _function_of(_forest), source=_graded),
         "sql_predict_state_rule": _sql("SELECT * FROM predict_state()", _rule_function),
-        "sql_predict_state_boosted": _sql("SELECT * FROM predict_state()", lambda s, d: register_forest(s, _boosted(s, d))),
-        "boosted_importance": lambda s, d: training.feature_importance(_boosted(s, d), _clean(s, d)),
-        "boosted_auc": _boosted_auc,
-        "feature_importance": lambda s, d: training.feature_importance(_model(s, d), _clean(s, d)),
-        "model_report": lambda s, d: metrics.class_report(_held_out(s, d)[0]),
-        "model_auc": lambda s, d: metrics.weighted_ovr_auc(*_held_out(s, d)),
+        "sql_predict_state_boosted": _sql("SELECT * FROM predict_state()", _function_of(_boosted), source=_clean),
+        "boosted_predictions": lambda s, d: _boosted_held_out(s, d)[0].select("well_number", "timestamp", "prediction"),
+        "boosted_importance": _leading_feature(_graded_boosted),
+        "boosted_report": lambda s, d: _report(_boosted_held_out(s, d)[0]),
+        "boosted_auc": lambda s, d: _auc(*_boosted_held_out(s, d)),
+        "feature_importance": lambda s, d: _leading_feature(_forest)(s, d).drop("importance"),
+        "model_report": lambda s, d: _report(_forest_held_out(s, d)[0]),
+        "model_auc": lambda s, d: _auc(*_forest_held_out(s, d)),
     }
 
 

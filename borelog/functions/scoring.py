@@ -1,7 +1,5 @@
-"""Models as vectorised SQL functions, for the SQL table function ``predict_state``."""
+"""Any other model as a vectorised SQL function, for the SQL table function ``predict_state``; trees need none, see ``tree_sql``."""
 
-import numpy as np
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import SparkSession, types as T
 
@@ -22,62 +20,3 @@ def register_batch_model(spark: SparkSession, make_predict, name: str = "state_m
     )
     spark.udf.register(name, predict)
     return name
-
-
-def register_forest(spark: SparkSession, model: PipelineModel, name: str = "state_model") -> str:
-    """Register a pipeline of ``plans.training``, forest or boosted; only its trees and fill values travel to the executors."""
-    indexer, imputer, _, learner, _ = model.stages
-    fill = imputer.surrogateDF.first()
-    fill_values = np.array([fill[c] for c in MODEL_FEATURES])
-    labels = np.array(indexer.labels, dtype=float)
-    if hasattr(learner, "models"):  # one boosted model per class, the class with the largest margin wins
-        classes = [[(w, _as_arrays(t)) for w, t in zip(m.treeWeights, m.trees)] for m in learner.models]
-
-        def votes(rows):
-            margins = [sum(w * _leaf_values(t, rows) for w, t in trees) for trees in classes]
-            return np.stack(margins, axis=1)[:, : len(labels)]
-    else:
-        trees = [_as_arrays(tree) for tree in learner.trees]
-
-        def votes(rows):
-            return sum(_leaf_values(tree, rows) for tree in trees)
-
-    def make_predict():
-        def predict(rows):
-            rows = np.where(np.isnan(rows), fill_values, rows)
-            return labels[votes(rows).argmax(axis=1)]
-
-        return predict
-
-    return register_batch_model(spark, make_predict, name)
-
-
-def _as_arrays(tree):
-    """Nodes of one tree as columns; a leaf is its own child and holds class shares, or a number in a regression tree."""
-    feature, threshold, children, values = [], [], [], []
-    regression = not hasattr(tree, "numClasses") or "Regression" in type(tree).__name__
-
-    def add(node):
-        at = len(feature)
-        feature.append(0)
-        threshold.append(np.inf)
-        children.append([at, at])
-        stats = None if regression else np.array(list(node.impurityStats().stats()))
-        values.append(node.prediction() if regression else stats / stats.sum())
-        if node.subtreeDepth() > 0:
-            feature[at] = node.split().featureIndex()
-            threshold[at] = node.split().threshold()
-            children[at] = [add(node.leftChild()), add(node.rightChild())]
-        return at
-
-    add(tree._java_obj.rootNode())
-    return np.array(feature), np.array(threshold), np.array(children), np.array(values), tree.depth
-
-
-def _leaf_values(tree, rows):
-    feature, threshold, children, values, depth = tree
-    at = np.zeros(len(rows), dtype=int)
-    every = np.arange(len(rows))
-    for _ in range(depth):
-        at = children[at, (rows[every, feature[at]] > threshold[at]).astype(int)]
-    return values[at]

@@ -346,3 +346,37 @@ ORACLES["process_tree"] = OBSERVATIONS + f"""
 ORACLES["ovr_auc_sliced"] = ORACLES["ovr_auc"]
 ORACLES["latest_n_obs_pruned"] = ORACLES["latest_n_obs_uncapped"]
 ORACLES["most_recent_obs_pruned"] = ORACLES["most_recent_obs"]
+
+# Models are trained on rows in which the features decide the label, so that a right model predicts the label itself: which
+# sensor is missing in rows that are not filled, or a pressure in steps of ten.
+GRADED = FILLED_TABLE.rstrip() + """,
+graded AS (
+    SELECT * EXCLUDE (state) REPLACE (floor("P-PDG" / 10) * 10.0 AS "P-PDG"),
+        CASE WHEN floor("P-PDG" / 10) >= 6 THEN 8 WHEN floor("P-PDG" / 10) >= 3 THEN 3 ELSE 0 END AS state
+    FROM filled WHERE "P-PDG" IS NOT NULL
+)"""
+_GRADED_SPLIT = GRADED + "," + SPLIT.replace("FROM obs", "FROM graded")
+_BARE_SPLIT = OBSERVATIONS + "," + SPLIT
+_RIGHT = """,
+scored AS (
+    SELECT state AS label, state AS prediction, CAST(state = 0 AS INTEGER) AS score_0, CAST(state = 3 AS INTEGER) AS score_3,
+        CAST(state = 8 AS INTEGER) AS score_8, CAST(state = 101 AS INTEGER) AS score_101
+    FROM split WHERE is_test
+),"""
+_report_of = lambda split: split + _RIGHT + ORACLES["class_report"].split(SCORED + ",")[1]
+_auc_of = lambda split: split + _RIGHT + ORACLES["weighted_ovr_auc"].split(SCORED + ",")[1]
+_newest_of = lambda table, source: table + f"""
+    SELECT well_number, "timestamp", CAST(state AS INTEGER) AS prediction
+    FROM ({_newest(LATEST + ", state", "well_number", 10, source)})"""
+ORACLES |= {
+    "predict_state": _newest_of(GRADED, "graded"),
+    "sql_predict_state": _newest_of(GRADED, "graded"),
+    "sql_predict_state_boosted": _newest_of(OBSERVATIONS, "obs"),
+    "boosted_predictions": _BARE_SPLIT + 'SELECT well_number, "timestamp", state AS prediction FROM split WHERE is_test',
+    "boosted_report": _report_of(_BARE_SPLIT),
+    "boosted_auc": _auc_of(_BARE_SPLIT),
+    "boosted_importance": GRADED + "SELECT 'P-PDG' AS feature, CAST(1 AS DOUBLE) AS importance FROM graded LIMIT 1",
+    "feature_importance": GRADED + "SELECT 'P-PDG' AS feature FROM graded LIMIT 1",
+    "model_report": _report_of(_GRADED_SPLIT),
+    "model_auc": _auc_of(_GRADED_SPLIT),
+}

@@ -2,8 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from borelog.functions.scoring import register_batch_model, register_forest
+from borelog.functions.scoring import register_batch_model
 from borelog.functions.table_functions import register_functions
+from borelog.functions.tree_sql import create_model_function
 from borelog.operators.metrics import accuracy, weighted_ovr_auc
 from borelog.operators.newest import latest_n_obs
 from borelog.plans.training import apply_model, class_scores, feature_importance, predict_state, train_state_model
@@ -37,14 +38,14 @@ def test_forest_learns_and_returns_state_codes(labelled, forest):
 
 
 def test_boosted_trees(spark, labelled):
-    model = train_state_model(labelled.limit(600), learner="boosted", num_trees=3, max_depth=3)
+    model = train_state_model(labelled.limit(600), learner="boosted", num_trees=3)
     scored = apply_model(model, labelled)
     assert accuracy(scored).first()[0] > 0.9
     assert weighted_ovr_auc(scored, class_scores(model)).first().weighted_auc > 0.9
     assert scored.where("abs(aggregate(probability, 0D, (a, b) -> a + b) - 1) > 1e-9").isEmpty()
     assert feature_importance(model, labelled, top=1).first().feature == "P-PDG"
     labelled.withColumn("P-JUS-CKP", F.lit(None).cast("double")).createOrReplaceTempView("boosted_rows")
-    register_functions(spark, "boosted_rows", register_forest(spark, model, "boosted_model"))
+    register_functions(spark, "boosted_rows", create_model_function(spark, model, "boosted_model"))
     assert spark.sql("SELECT * FROM predict_state()").exceptAll(predict_state(model, labelled)).isEmpty()
 
 
@@ -67,7 +68,7 @@ def test_importance_ranks_the_telling_sensor_first(labelled, forest):
 def test_sql_prediction_equals_the_pipeline(spark, labelled, forest):
     with_other_sensors = labelled.withColumn("P-JUS-CKP", F.lit(None).cast("double"))
     with_other_sensors.createOrReplaceTempView("labelled_rows")
-    register_functions(spark, "labelled_rows", register_forest(spark, forest))
+    register_functions(spark, "labelled_rows", create_model_function(spark, forest))
     for sql, wanted in (
         ("SELECT * FROM predict_state()", predict_state(forest, labelled)),
         ("SELECT * FROM predict_state(2, 100)", predict_state(forest, labelled, 2, 100)),
