@@ -1,13 +1,13 @@
 """Forward fill of long sensor series."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from borelog.support import BROADCAST_ROWS, materialise, same_keys, small_side
 
-# Bounds on the cut points of an oversized chunk: how many it may get, and rows sampled per cut point.
-MAX_SLICES = 4096
+# Rows sampled per cut point of an oversized chunk.
 SAMPLES_PER_SLICE = 16
 
 
@@ -27,8 +27,9 @@ def forward_fill(
     columns to stop at file borders, or give ``max_gap`` (an interval such as ``'1 hour'``) to stop at long gaps.
 
     While no series is longer than ``max_chunk_rows`` one window over the series does the work. Otherwise the series
-    are cut into days, and days that are still too long into slices; each chunk is filled in its own task, starting
-    from the values that the chunks before it leave behind. The result is the same.
+    are cut into days, and days that are still too long into slices: the rows are shuffled by chunk, once, and filled
+    inside their chunk; the last row of each chunk then says what it leaves behind, and what the chunks before a chunk
+    leave behind fills its leading NULLs. The result is the same.
     """
     keys = list(partition_cols)
     fill_cols = [c for c in observations.columns if c not in (*keys, order_col)] if fill_cols is None else fill_cols
@@ -39,28 +40,43 @@ def forward_fill(
 
     longest_series, longest_day = _longest(observations, keys, order_col)
     if longest_series <= max_chunk_rows:
-        chunk = keys
+        so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        filled = held.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in fill_cols})
     else:
         held = held.withColumn("_day", _day(observations, order_col))
-        chunk = [*keys, "_day"]
+        chunk = ["_day"]
         if longest_day > max_chunk_rows:
-            held = add_slice(held, chunk, order, max_chunk_rows)
-            chunk = [*chunk, "_slice"]
-        held = _carried_in(held, keys, chunk, order, fill_cols).unionByName(
-            held.withColumn("_is_row", F.lit(True)), allowMissingColumns=True
-        )
-        order = ["_is_row", *order]
-
-    so_far = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = held.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in fill_cols})
-    if "_is_row" in filled.columns:
-        filled = filled.where("_is_row")
+            held, chunk = add_slice(held, [*keys, "_day"], order, max_chunk_rows), ["_day", "_slice"]
+        filled = _fill_chunks(held, keys, chunk, order, fill_cols)
     if max_gap:
         in_reach = lambda c: F.col(order_col) <= F.col(c)["at"] + F.expr(f"INTERVAL {max_gap}")
         filled = filled.withColumns({c: F.when(in_reach(c), F.col(c)["value"]) for c in fill_cols})
     return filled.select(*observations.columns)
 
 
+def _fill_chunks(rows: DataFrame, keys, chunk, order, fill_cols) -> DataFrame:
+    """Fill inside each (keys, chunk), then from the chunks before.
+
+    A chunk's key is one struct: its fields may be NULL while it is not, so that the window and the join agree on one
+    partitioning of the rows. The last rows come from the same shuffle where every column is filled.
+    """
+    rows = rows.withColumn("_chunk", F.struct(*keys, *chunk)).drop(*keys, *chunk)
+    inside = Window.partitionBy("_chunk").orderBy(*order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = rows.withColumns(
+        {c: F.last(c, ignorenulls=True).over(so_far) for c in fill_cols} | {"_last": F.lead(F.lit(1)).over(inside).isNull()}
+    )
+    before = Window.partitionBy(*[F.col("_before")[k] for k in keys]).orderBy(*[F.col("_before")[c] for c in chunk])
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    left_behind = filled.where("_last").select(F.col("_chunk").alias("_before"), *fill_cols)
+    carried = left_behind.select(
+        "_before", *[F.last(c, ignorenulls=True).over(before).alias(f"_carried_{i}") for i, c in enumerate(fill_cols)]
+    )
+    joined = filled.join(carried, F.col("_chunk") == F.col("_before"), "left")
+    of_chunk = {k: F.col("_chunk")[k] for k in keys}
+    return joined.withColumns({c: F.coalesce(c, f"_carried_{i}") for i, c in enumerate(fill_cols)} | of_chunk)
+
+
 def _day(rows: DataFrame, order_col: str) -> Column:
     """Day of a time. Moments are cut by UTC days, which follow each other in every session time zone."""
     if isinstance(rows.schema[order_col].dataType, T.TimestampType):
@@ -81,21 +97,6 @@ def _held(column: str, order_col: str, max_gap: str | None) -> Column:
     return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("value"), F.col(order_col).alias("at")))
 
 
-def _carried_in(rows: DataFrame, keys, chunk, order, fill_cols) -> DataFrame:
-    """One row per chunk with the last non-NULL value of every column in the chunks before it."""
-    position = F.struct(*order)
-    last_in_chunk = rows.groupBy(*chunk).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in fill_cols]
-    )
-    chunk_order = [c for c in chunk if c not in keys]
-    before = Window.partitionBy(*keys).orderBy(*chunk_order).rowsBetween(Window.unboundedPreceding, -1)
-    return last_in_chunk.select(
-        *chunk,
-        *[F.last(c, ignorenulls=True).over(before).alias(c) for c in fill_cols],
-        F.lit(False).alias("_is_row"),
-    )
-
-
 def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
     """Number stretches of about ``max_rows`` rows within each group, along ``order``, in ``_slice``.
 
@@ -106,13 +107,13 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     """
     sizes = rows.groupBy(*groups).agg(F.count("*").alias("_rows"))
     large = materialise(sizes.where(F.col("_rows") > max_rows))
-    n_slices, = large.agg(F.sum(F.ceil(F.col("_rows") / max_rows))).first()
+    n_slices, most_rows = large.agg(F.sum(F.ceil(F.col("_rows") / max_rows)), F.max("_rows")).first()
     if n_slices is None:
         return rows.withColumn("_slice", F.lit(0))
 
     # Slices get longer where needed, so that all cut points together stay within what may be broadcast.
     slice_rows = max_rows * max(1.0, n_slices / BROADCAST_ROWS)
-    slices = F.least(F.ceil(F.col("_rows") / slice_rows), F.lit(MAX_SLICES)).cast("int")
+    slices, most_cuts = F.ceil(F.col("_rows") / slice_rows).cast("int"), math.ceil(most_rows / slice_rows)
     large = small_side(large.withColumn("_slices", slices).where("_slices > 1").withColumnsRenamed(
         {c: f"_large_{c}" for c in groups}
     ))
@@ -133,8 +134,8 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     cuts = small_side(
         materialise(cuts.withColumn("_repeats", F.size(F.array_distinct("_cuts")) < F.size("_cuts")))
     )
-    below = cut_index(F.col("_cuts"), lambda cut: cut < F.col("_key"))
-    up_to = cut_index(F.col("_cuts"), lambda cut: cut <= F.col("_key"))
+    below = cut_index(F.col("_cuts"), lambda cut: cut < F.col("_key"), most_cuts)
+    up_to = cut_index(F.col("_cuts"), lambda cut: cut <= F.col("_key"), most_cuts)
     alone = up_to - below - 1
     # Copies are dealt by task: one that runs again deals them as before.
     dealt = F.when(alone > 0, below + 1 + F.pmod(F.spark_partition_id(), alone)).otherwise(below)
@@ -146,7 +147,7 @@ def add_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], max_
     )
 
 
-def cut_index(cuts: Column, holds, max_cuts: int = MAX_SLICES) -> Column:
+def cut_index(cuts: Column, holds, max_cuts: int = 4096) -> Column:
     """How many of the sorted ``cuts`` satisfy ``holds``, by bisection."""
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(max_cuts.bit_length()))])
     return F.aggregate(

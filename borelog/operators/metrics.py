@@ -5,7 +5,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from borelog.operators.filling import MAX_SLICES, cut_index
+from borelog.operators.filling import cut_index
+from borelog.support import BROADCAST_ROWS
 
 # Labels of the report rows.
 CLASS_PREFIX = "State_"
@@ -112,7 +113,7 @@ def ovr_auc(
         count_if(F.col("is_positive")).alias("positives"), count_if(~F.col("is_positive")).alias("negatives")
     )
     n_rows = scored.count()
-    n_slices = min(MAX_SLICES, math.ceil(n_rows / slice_rows))
+    n_slices = min(BROADCAST_ROWS, math.ceil(n_rows / slice_rows))
     if n_slices < 2:
         in_slice = by_score.withColumn("slice", F.lit(0))
     else:
@@ -141,7 +142,7 @@ def _sliced(by_score: DataFrame, sample: DataFrame, n_slices: int) -> DataFrame:
     cuts = sample.groupBy(F.col("class").alias("cut_class")).agg(
         F.percentile_approx("score", quantiles, 10 * n_slices).alias("cuts")
     )
-    # One row of at most MAX_SLICES numbers per scored class: the call itself bounds the broadcast side.
+    # One row of at most BROADCAST_ROWS numbers per scored class: the call itself bounds the broadcast side.
     found = by_score.join(F.broadcast(cuts), F.col("class") == F.col("cut_class"), "left")
     below = cut_index(F.col("cuts"), lambda cut: cut < F.col("score"), n_slices)
     return found.select(*by_score.columns, F.coalesce(below, F.lit(0)).alias("slice"))

@@ -118,3 +118,17 @@ def test_cut_index_counts_smaller_cuts(spark):
         cuts = F.array(*[]).cast("array<int>") if n == 0 else F.sequence(F.lit(1), F.lit(n))
         rows = spark.range(0, n + 2).select("id", cut_index(cuts, lambda cut: cut < F.col("id")).alias("i"))
         assert all(r.i == min(max(r.id - 1, 0), n) for r in rows.collect())
+
+
+def test_days_are_filled_from_one_scan_and_one_shuffle_of_rows(spark, tmp_path, at):
+    rows = [(w, at(s), a, b, f) for w, s, a, b, f in random_series(11, 3000)]
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.schema(SCHEMA).parquet(str(tmp_path / "rows"))
+    filled = forward_fill(stored, max_chunk_rows=500)
+    found = filled.collect()
+    plan = filled._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "== Final Plan ==" in plan and plan.count("FileScan parquet") == 1
+    assert "ReusedExchange" in plan and "SortAggregate" not in plan
+    # The rows by chunk, and their last ones by series.
+    assert sum("Exchange hashpartitioning" in line and "Reused" not in line for line in plan.splitlines()) == 2
+    assert sorted(map(repr, found)) == sorted(map(repr, forward_fill(stored).collect()))

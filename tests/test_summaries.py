@@ -1,6 +1,7 @@
 import datetime as dt
 import statistics
 
+import numpy as np
 import pytest
 
 from borelog.operators.cleaning import clean
@@ -107,8 +108,34 @@ def test_median_of_a_long_series(spark, value):
     assert long == plain
 
 
-def test_median_outside_its_bracket(spark, monkeypatch):
-    """A bracket that misses the median costs another count, not the right result."""
-    monkeypatch.setattr(features, "MARGIN", -0.4)
-    rows = spark.range(10_001).selectExpr("1 AS well_number", "CAST(id AS DOUBLE) AS a")
-    assert features.series_features(rows, ["a"], max_series_rows=10).first()["median"] == 5000.0
+def test_median_of_special_numbers(spark):
+    """NaN is the largest number, -0.0 is 0.0; the middle of an even count lies between two numbers, however far apart."""
+    nan, inf = float("nan"), float("inf")
+    series = {
+        1: [nan, nan, 1.0], 2: [nan, 1.0, 2.0, nan], 3: [-0.0, 0.0, -0.0, 0.0], 4: [-1.0, -0.0], 5: [inf, -inf], 6: [-inf, 5.0, inf],
+        7: [1.7e308, 1.6e308], 8: [5e-324, 0.0], 9: [5e-324, 5e-324, 1e-320], 10: [-1.5, -1.5, 2.5, 2.5], 11: [None, 3.0], 12: [None, None, None],
+        13: [-3.0, -2.0, -1.0, None], 14: [1.0, np.nextafter(1.0, 2.0)], 15: [7.0] * 9 + [8.0] * 9, None: [4.0, 6.0, None],
+    }
+    rows = [(w, None if v is None else float(v), None if v is None else -float(v)) for w, listed in series.items() for v in listed]
+    frame = spark.createDataFrame(rows, "well_number int, a double, b double").repartition(5)
+    found, wanted = (
+        sorted((repr(r.well_number), r.tag, repr(None if r["median"] is None else r["median"] + 0.0)) for r in series_features(frame, ["a", "b"], max_series_rows=n).collect())
+        for n in (0, 10**9)
+    )
+    assert found == wanted and len(found) == 32
+
+
+def test_only_long_series_are_searched(spark):
+    rows = spark.range(5000).selectExpr("IF(id < 4000, 1, CAST(id AS INT)) AS well_number", "rand(5) AS a", "-rand(6) AS b")
+    plain = series_features(rows, ["a", "b"]).collect()
+    assert sorted(map(str, series_features(rows, ["a", "b"], max_series_rows=100).select("well_number", "tag", "median", "length").collect())) == sorted(
+        str(r) for r in spark.createDataFrame(plain).select("well_number", "tag", "median", "length").collect())
+    plan = series_features(rows, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "percentile_approx" not in plan and plan.count("Aggregate") == 1
+
+
+def test_ordered_bits():
+    values = np.array([-np.inf, -1.7e308, -1.0, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.7e308, np.inf, np.nan, -np.nan])
+    bits = features.ordered_bits(values)
+    assert (np.diff(bits[[0, 1, 2, 3, 4, 6, 7, 8, 9, 10]]) > 0).all() and bits[4] == bits[5] and bits[10] == bits[11]
+    assert np.array_equal(features.from_ordered_bits(bits), values, equal_nan=True)
