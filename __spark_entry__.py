@@ -23,6 +23,7 @@ from borelog.plans.boosting import BoostingSettings, train_boosted
 from borelog.schema import MODEL_FEATURES, SCAN_CAP
 from borelog.plans.tables import build_table, process_tree
 from borelog.sources.episodes import normalise_episodes, read_episodes, read_raw_episodes, write_normalised
+from borelog.sources.ledger import ingest, read_ingested
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files
 from borelog.sources.tags import tags_long
 from borelog.sources.trees import read_table, read_tree
@@ -222,6 +223,19 @@ def _raw_tree(spark, sf_dir):
     return folder
 
 
+def _ingested(spark, sf_dir):
+    """The raw files taken up in two runs, of which a third finds nothing new."""
+    folder = scratch_folder(spark)
+    for cap in (7, None, None):
+        ingest(spark, _raw_tree(spark, sf_dir), f"{folder}/rows", f"{folder}/ledger", max_files=cap)
+    return folder
+
+
+def _ingested_rows(spark, sf_dir):
+    folder = _ingested(spark, sf_dir)
+    return _local_times(read_ingested(spark, f"{folder}/rows", f"{folder}/ledger"))
+
+
 def _local_times(df: DataFrame) -> DataFrame:
     """Without the paths of files, and with times as the events have them."""
     return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).drop("source_file")
@@ -320,6 +334,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "episode_files": lambda s, d: _local_times(read_episodes(s, _episode_tree(s, d))),
         "episode_table": _episode_table,
         "raw_files": lambda s, d: _local_times(normalise_episodes(read_raw_episodes(s, _raw_tree(s, d)))),
+        "ingested_rows": _ingested_rows,
         "process_tree": lambda s, d: _local_times(process_tree(s, _episode_tree(s, d))).select(
             "well_number", "timestamp", "state", "state_name"
         ),

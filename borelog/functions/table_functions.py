@@ -2,7 +2,7 @@
 
 from pyspark.sql import SparkSession
 
-from borelog.operators.newest import LATEST_COLUMNS, RECENT_COLUMNS
+from borelog.operators.newest import GROUP_LIMIT, GROUP_PARTS, LATEST_COLUMNS, RECENT_COLUMNS
 from borelog.schema import MODEL_FEATURES, STATE_NAMES
 
 # Names, parameters and defaults of the functions below.
@@ -21,7 +21,9 @@ def register_functions(
 
     ``latest_n_obs(well, n)``, ``most_recent_obs(well)``, ``well_time_bounds(well)``, ``well_failure_counts(well)``
     and, given the name of a function of the array of model features, ``predict_state(well, n)``. ``scan_cap``, if any, is
-    fixed at creation, because SQL takes no parameter in LIMIT. Ties in time go by ``source_file``, then by row content. Functions that are not ``temporary`` go into ``schema`` and need
+    fixed at creation, because SQL takes no parameter in LIMIT. Ties in time go by ``source_file``, then by row content.
+    Beyond GROUP_LIMIT rows per well ``latest_n_obs`` ranks in parts of a well first, and then what is left of them, so that no
+    task sorts a whole well. Functions that are not ``temporary`` go into ``schema`` and need
     a table and a model function that are permanent too; Spark calls table functions without a qualifier, so ``USE`` the
     schema first. Bodies are inlined into the calling query, so a constant well
     number reaches the Parquet scan as a pushed filter and -1 leaves no filter behind.
@@ -47,10 +49,17 @@ def register_functions(
         RETURNS TABLE ({columns(LATEST_COLUMNS)})
         COMMENT 'The newest n observations of a well, or of every well'
         RETURN
-        WITH newest AS (SELECT * FROM {chosen} {cap}),
+        WITH newest AS (
+            SELECT *, IF(n_obs_param <= {GROUP_LIMIT}, 0, pmod(xxhash64({listing(types)}, spark_partition_id()), {GROUP_PARTS})) AS part
+            FROM (SELECT * FROM {chosen} {cap})
+        ),
+        of_part AS (
+            SELECT *, row_number() OVER (PARTITION BY well_number, part ORDER BY {newest_first}) AS nth_of_part
+            FROM newest
+        ),
         ranked AS (
             SELECT *, row_number() OVER (PARTITION BY well_number ORDER BY {newest_first}) AS nth
-            FROM newest
+            FROM of_part WHERE nth_of_part <= n_obs_param
         )
         SELECT {listing(LATEST_COLUMNS)} FROM ranked WHERE nth <= n_obs_param
     """)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from borelog.operators.cleaning import for_well
 from borelog.schema import ALL_WELLS
-from borelog.support import fetch_small, same_keys
+from borelog.support import same_keys, small_side
 
 # The columns of the two table functions, in their order.
 LATEST_COLUMNS = ("well_number", "timestamp", "T-JUS-CKP", "T-TPT", "P-TPT", "P-MON-CKP", "P-PDG", "QGL")
@@ -57,9 +57,7 @@ def _recent_days(rows: DataFrame, groups: Sequence[str], n: int) -> DataFrame:
     # A group that needs its rows without a time needs all its rows.
     first_day = F.when(F.count("_day") == F.count("*"), F.min("_day"))
     first_days = needed.groupBy(*[F.col(g).alias(f"_from_{g}") for g in groups]).agg(first_day.alias("_first_day"))
-    first_days = fetch_small(first_days)
-    if first_days is None:
-        return rows
+    first_days = small_side(first_days)
     recent = F.col("_first_day").isNull() | (F.to_date("timestamp") >= F.col("_first_day"))
     return rows.join(first_days, same_keys(groups, "_from_") & recent).select(*rows.columns)
 

@@ -1,16 +1,14 @@
 """Exact stratified split without sorting or shuffling the rows."""
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from borelog.operators.ordering import seeded_key
-from borelog.support import small_side
+from borelog.support import BROADCAST_ROWS
 
-# About how many rows one strip of the hash range may hold, and the most hex digits of the hash that number strips.
-STRIP_ROWS = 100_000
-MAX_DIGITS = 5
+# Hex digits of the hash by which rows are counted: a label has at most 65,536 counts.
+PREFIX_DIGITS = 4
 
 
 def stratified_split(
@@ -22,33 +20,31 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``: true for the ``round(test_ratio * size)`` rows of each label whose hashed keys come first.
 
-    Each label needs only one number, the last hash that belongs to its test part. It is found by counting rows per
-    strip of the hash range and then ranking the hashes of the one strip in which the target falls; the rows
-    themselves stay where they are. Rows with the same keys are never parted, so copies cannot leak from training
-    into test; if keys repeat, the test part is the smallest such set that reaches its target.
+    Each label needs only one number, the last hash that belongs to its test part. Rows are counted by the first digits
+    of their hash, in one pass, and the hashes with the digits on which the target falls, one in 65,536, are ranked in a
+    second one; the rows themselves stay where they are. Nothing runs before the result is asked for. Rows with the same
+    keys are never parted, so copies cannot leak from training into test; if keys repeat, the test part is the smallest
+    such set that reaches its target. The result fails beyond BROADCAST_ROWS labels.
     """
     hashed = rows.withColumn("_key", seeded_key(rows, keys, seed))
-    digits = min(MAX_DIGITS, math.ceil(math.log(max(1.0, rows.count() / STRIP_ROWS), 16)))
-    stripped = hashed.select(F.col(label).alias("_label"), "_key", F.substring("_key", 1, digits).alias("_strip"))
+    narrow = hashed.select(F.col(label).alias("_label"), "_key", F.substring("_key", 1, PREFIX_DIGITS).alias("_prefix"))
 
     stratum = Window.partitionBy("_label")
-    strips = stripped.groupBy("_label", "_strip").agg(F.count("*").alias("_n"))
-    running = strips.select(
+    counts = narrow.groupBy("_label", "_prefix").agg(F.count("*").alias("_n"))
+    running = counts.select(
         "_label",
-        "_strip",
-        (F.sum("_n").over(stratum.orderBy("_strip")) - F.col("_n")).alias("_before"),
+        "_prefix",
+        (F.sum("_n").over(stratum.orderBy("_prefix")) - F.col("_n")).alias("_before"),
         "_n",
         F.round(F.sum("_n").over(stratum) * F.lit(test_ratio)).cast("bigint").alias("_target"),
     )
     border = running.where("_before < _target AND _target <= _before + _n").select(
         F.col("_label").alias("_border_label"),
-        F.col("_strip").alias("_border_strip"),
+        F.col("_prefix").alias("_border_prefix"),
         (F.col("_target") - F.col("_before")).alias("_rest"),
     )
-    in_border = F.col("_label").eqNullSafe(F.col("_border_label")) & (F.col("_strip") == F.col("_border_strip"))
-    copies = stripped.join(small_side(border), in_border).groupBy("_label", "_key", "_rest").agg(
-        F.count("*").alias("_n")
-    )
+    at_border = F.col("_label").eqNullSafe(F.col("_border_label")) & (F.col("_prefix") == F.col("_border_prefix"))
+    copies = narrow.join(_per_label(border), at_border).groupBy("_label", "_key", "_rest").agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(stratum.orderBy("_key"))
     last_keys = (
         copies.withColumn("_upto", upto)
@@ -57,10 +53,18 @@ def stratified_split(
         .agg(F.min("_key").alias("_last_key"))
     )
     return hashed.join(
-        small_side(last_keys), F.col(label).eqNullSafe(F.col("_last_label")), "left"
+        _per_label(last_keys), F.col(label).eqNullSafe(F.col("_last_label")), "left"
     ).select(*rows.columns, F.coalesce(F.col("_key") <= F.col("_last_key"), F.lit(False)).alias("is_test"))
 
 
+def _per_label(rows: DataFrame) -> DataFrame:
+    """One row per label, for broadcast; that they are few is checked when they are known."""
+    listed = rows.agg(F.collect_list(F.struct(*rows.columns)).alias("rows"))
+    too_many = F.raise_error(F.lit(f"a split is for at most {BROADCAST_ROWS} labels")).cast(listed.schema["rows"].dataType)
+    checked = F.when(F.size("rows") <= BROADCAST_ROWS, F.col("rows")).otherwise(too_many)
+    return F.broadcast(listed.select(F.inline(checked)))
+
+
 def split_by_time(rows: DataFrame, test_from) -> DataFrame:
     """Add ``is_test`` for the rows from a moment on; parts of one series then do not overlap in time."""
     return rows.withColumn("is_test", F.col("timestamp") >= F.lit(test_from))

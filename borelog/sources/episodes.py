@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from borelog.schema import EPISODE_SCHEMA, RAW_COLUMNS
 from borelog.sources.footers import read_typed
-from borelog.sources.trees import read_tree, scan_tree
+from borelog.sources.trees import scan_tree, stored_schema
 
 
 def declared_schema(sample: T.StructType, columns: Sequence[str]) -> T.StructType:
@@ -54,11 +54,15 @@ def normalise_episodes(raw: DataFrame) -> DataFrame:
     return kept.withColumn("timestamp", cut)
 
 
-def write_normalised(episodes: DataFrame, out: str) -> None:
-    """Write one folder per episode, mirroring the raw tree: ``subdir=<dir>/episode=<file name>/``.
+def write_normalised(episodes: DataFrame, out: str, mirrored: bool = False) -> None:
+    """Write files of even size, sorted by raw file and time; each row keeps the path of its raw file in ``source_file``.
 
-    The episode name stays in the path, so that provenance can still be read off it.
+    With ``mirrored`` there is one folder per episode as in the raw tree, ``subdir=<dir>/episode=<file name>/``, and the
+    path of a file stands for ``source_file``. That takes a file per episode, however small.
     """
+    if not mirrored:
+        episodes.hint("rebalance").sortWithinPartitions("source_file", "timestamp").write.mode("overwrite").parquet(out)
+        return
     parts = F.split("source_file", "/")
     (
         episodes.withColumn("subdir", F.element_at(parts, -2))
@@ -72,7 +76,10 @@ def write_normalised(episodes: DataFrame, out: str) -> None:
 
 
 def read_episodes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Read normalised files with the declared columns and types, and ``source_file``."""
-    schema = declared_schema(read_tree(spark, root, pattern).schema, EPISODE_SCHEMA.fieldNames())
+    """Read normalised files, of either layout, with the declared columns and types, and ``source_file``."""
+    sample = stored_schema(spark, root, pattern)
+    schema = declared_schema(sample, EPISODE_SCHEMA.fieldNames())
+    if "source_file" in sample.names:
+        schema = schema.add("source_file", "string")
     stored = scan_tree(spark, root, pattern, schema)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EPISODE_SCHEMA], "source_file")

@@ -128,7 +128,8 @@ _SCANNED = {"bigint": T.LongType(), "double": T.DoubleType(), "timestamp": T.Tim
 
 
 def read_typed(
-    spark: SparkSession, root: str, types: Mapping[str, T.DataType], pattern: str = "*.parquet", epoch_unit: str | None = None
+    spark: SparkSession, root: str, types: Mapping[str, T.DataType], pattern: str = "*.parquet", epoch_unit: str | None = None,
+    files: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of a tree whose files store the same columns in different types, and the files that cannot be read.
 
@@ -137,11 +138,12 @@ def read_typed(
     stored alike are scanned together, one scan per way of storing. A time without an annotation is read with
     ``epoch_unit``; without that, or if a type does not fit, the file is in the second table (path, size, reason) and
     none of its rows is in the first. A column that a file lacks is NULL; a real number stands for a whole one only if it
-    is one, NaN is NULL there. Raises ValueError where no file matches.
+    is one, NaN is NULL there. Raises ValueError where no file matches. With ``files`` (path, size) only these are read.
 
     The paths of a way pass through the driver, as the listing of any tree does.
     """
-    decided = list_files(spark, root, pattern).mapInPandas(
+    listed = list_files(spark, root, pattern) if files is None else files.select("path", "size")
+    decided = listed.mapInPandas(
         _ways(types, epoch_unit), "path string, size long, ways array<string>, reason string"
     )
     catalogue = materialise(decided)
@@ -150,7 +152,7 @@ def read_typed(
     kinds = [row.ways for row in readable.select("ways").distinct().orderBy("ways").collect()]
     if not kinds and catalogue.isEmpty():
         raise ValueError(f"no file under {root} matches {pattern}")
-    one_way = len(kinds) == 1 and quarantine.isEmpty()
+    one_way = files is None and len(kinds) == 1 and quarantine.isEmpty()
     parts = []
     for kind in kinds:
         how = dict(zip(types, kind))
@@ -194,7 +196,7 @@ def read_readable(
         schema = scan_tree(spark, root, pattern, None, merge_schema, skip_corrupt=True).drop("source_file").schema
     rows = scan_tree(spark, root, pattern, schema)
     paths = [spark._jvm.org.apache.hadoop.fs.Path(row.path).toUri().toString() for row in bad.select("path").collect()]
-    return rows.where(~F.col("source_file").isin(paths)) if paths else rows, bad
+    return rows.where(~F.col("_metadata.file_path").isin(paths)) if paths else rows, bad
 
 
 @F.pandas_udf(T.StringType())

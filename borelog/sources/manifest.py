@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from borelog.sources.trees import list_files
-from borelog.support import small_side
 
 
 def tree_listing(spark: SparkSession, root: str) -> DataFrame:
@@ -31,7 +30,7 @@ def ingest_manifest(
     No cap, or one below 1, means all. ``ledger`` needs ``subdir`` and ``name``.
     """
     top = _first(listing.where(F.col("subdir").isNull()).select("name", "type"), max_dirs, "name")
-    dirs = small_side(top.where(F.col("type") == "dir").select(F.col("name").alias("subdir")).distinct())
+    dirs = top.where(F.col("type") == "dir").select(F.col("name").alias("subdir")).distinct()
     files = listing.where((F.col("type") == "file") & F.col("name").endswith(".parquet")).join(
         dirs, "subdir", "left_semi"
     )

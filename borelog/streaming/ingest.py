@@ -35,16 +35,12 @@ def ingest_new_files(
     """Normalise the files that are new since the last run with this ``checkpoint``, then stop.
 
     The checkpoint is the ledger of files seen, and the sink commits whole batches, so a run that dies is simply
-    started again. Output: one folder per episode, as ``sources.episodes.write_normalised`` lays it out.
+    started again. Output: files as ``sources.episodes.write_normalised`` lays them out, some per batch; each row keeps the
+    path of its raw file.
     """
-    parts = F.split("source_file", "/")
     episodes = normalise_episodes(stream_raw_episodes(spark, root, pattern, max_files))
     return (
-        episodes.withColumn("subdir", F.element_at(parts, -2))
-        .withColumn("episode", F.regexp_replace(F.element_at(parts, -1), r"\.parquet$", ""))
-        .drop("source_file")
-        .writeStream.format("parquet")
-        .partitionBy("subdir", "episode")
+        episodes.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -41,6 +41,11 @@ def remove_folder(spark, path: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 @atexit.register
 def _remove_all() -> None:
     for path, spark in list(_scratch.items()):
@@ -60,20 +65,14 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fetch_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """Fetch a table meant to be small and mark it for broadcast; None if it has more than ``max_rows`` rows."""
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Fetch a table meant to be small and mark it for broadcast; a larger one comes back as it was, for a shuffled join."""
     rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
-        return None
+        return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``fetch_small``, but a larger table comes back as it was, and the join that uses it is shuffled."""
-    fetched = fetch_small(df, max_rows)
-    return df if fetched is None else fetched
-
-
 def same_keys(keys, prefix: str):
     """Equi-join condition between ``keys`` and their ``prefix``-ed namesakes, in which NULL meets NULL."""
     condition = F.lit(True)

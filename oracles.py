@@ -339,6 +339,7 @@ ORACLES["raw_files"] = EPISODES + f"""
     SELECT * EXCLUDE (source_file) REPLACE (date_trunc('milliseconds', "timestamp") AS "timestamp"),
         CAST(NULL AS DOUBLE) AS "P-MON-CKGL", CAST(NULL AS DOUBLE) AS "P-JUS-CKGL"
     FROM episodes WHERE state IS NOT NULL"""
+ORACLES["ingested_rows"] = ORACLES["episode_files"]
 ORACLES["episode_table"] = FILLED_TABLE + _CUT + "filled"
 ORACLES["process_tree"] = OBSERVATIONS + f"""
     SELECT well_number, date_trunc('milliseconds', "timestamp") AS "timestamp", state,

@@ -6,6 +6,7 @@ from borelog.operators.filling import forward_fill
 from borelog.operators.newest import latest_n_obs, most_recent_obs, newest_per_group
 from borelog.operators.ordering import seeded_key, seeded_sample
 from borelog.operators.splitting import stratified_split
+from borelog.schema import SENSORS
 from borelog.sources.trees import write_table
 
 SCHEMA = (
@@ -124,3 +125,21 @@ def test_samples_and_fills_do_not_follow_the_session_time_zone(spark, at, zone):
 def test_null_keys_have_their_own_hash(spark):
     rows = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
     assert rows.select(seeded_key(rows, ["x", "y"], 1)).distinct().count() == 2
+
+
+def test_sql_ranks_many_rows_of_a_well_in_parts(spark):
+    """No window sorts all rows of a well where more than a thousand are asked for; the rows are the same."""
+    rows = spark.range(40_000).selectExpr(
+        "IF(id % 4 = 0, CAST(id % 7 AS INT), 1) AS well_number", "timestamp_seconds(id * 7919 % 20011) AS timestamp",
+        *[f"CAST(id AS DOUBLE) AS `{c}`" for c in SENSORS], "0 AS state", "'f' AS source_file",
+    )
+    rows.createOrReplaceTempView("many_rows")
+    register_functions(spark, "many_rows")
+    for n in (3, 1500):
+        found = spark.sql(f"SELECT * FROM latest_n_obs(n_obs_param => {n})")
+        assert sorted(found.collect()) == sorted(latest_n_obs(rows, n=n).collect())
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("part#" in plan) == (n > 1000)
+        windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
+        # The rows pass the ranking in parts before the one of whole wells.
+        assert len(windows) == 2 and ("part#" in windows[1].split("windowspecdefinition(")[1]) == (n > 1000)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from borelog.operators.cleaning import clean
 from borelog.plans.tables import build_table, normalise_tree, observations, process_tree
 from borelog.schema import EPISODE_SCHEMA, RAW_COLUMNS, SENSORS
-from borelog.sources.episodes import read_episodes, read_raw_episodes
+from borelog.sources.episodes import normalise_episodes, read_episodes, read_raw_episodes, write_normalised
 from borelog.sources.manifest import ingest_manifest, ingest_report, new_files, tree_listing
 from borelog.sources.tags import tag_dictionary
 from borelog.sources.trees import read_table, read_tree, write_table
@@ -70,6 +70,13 @@ def test_normalised_tree_keeps_provenance_and_feeds_the_table(spark, raw_tree, t
     assert [r["P-PDG"] for r in by_file] == [None, None, 3.0, None, None, 3.0]
 
 
+def test_mirrored_layout(spark, raw_tree, tmp_path):
+    out = tmp_path / "mirror"
+    write_normalised(normalise_episodes(read_raw_episodes(spark, str(raw_tree))), str(out), mirrored=True)
+    assert {p.name for p in out.glob("subdir=*/episode=*")} == {f"episode={p.stem}" for p in raw_tree.rglob("*.parquet")}
+    assert clean(read_episodes(spark, str(out))).count() == 9
+
+
 def test_sensors_that_some_files_lack(spark, tmp_path):
     """Which file the schema is sampled from does not decide what is read."""
     for at, lacks in enumerate([("QGL",), ("P-PDG", "P-MON-CKGL"), ()]):
@@ -81,12 +88,39 @@ def test_sensors_that_some_files_lack(spark, tmp_path):
     assert seen == {0: (0, 1), 1: (1, 0), 2: (1, 1)}
 
 
-def test_well_filter_reads_one_folder(spark, raw_tree, tmp_path):
-    out = str(tmp_path / "clean")
-    normalise_tree(spark, str(raw_tree), out)
-    build_table(spark, out, path=str(tmp_path / "table"))
-    plan = spark.read.parquet(str(tmp_path / "table")).where("well_number = 19")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(well_number" in plan
+def test_a_table_has_few_files_and_a_well_filter_opens_some_of_them(spark, tmp_path):
+    """One well holds a third of the rows, the others are small."""
+    rows = spark.range(60_000).selectExpr("IF(id % 3 = 0, 7, CAST(id % 100 AS INT)) AS well_number", "timestamp_seconds(id * 37 % 60000) AS timestamp", "rand(1) AS a")
+    rows = rows.repartition(16)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        write_table(rows, "borelog_wells", str(tmp_path / "table"), buckets=8)
+        files = {f.name: pq.ParquetFile(f) for f in (tmp_path / "table").glob("*.parquet")}
+        assert 8 <= len(files) <= 40
+        # The long well is written by several tasks, sorted by time.
+        wells = {name: file.read(["well_number"])["well_number"].to_pylist() for name, file in files.items()}
+        assert sum(7 in w for w in wells.values()) > 1 and max(map(len, wells.values())) < 20_000
+        assert all(w == sorted(w) for w in wells.values())
+        one = spark.table("borelog_wells").where("well_number = 7")
+        assert one.count() == rows.where("well_number = 7").count()
+        assert sorted(spark.table("borelog_wells").collect()) == sorted(rows.collect())
+        # Files of other buckets are not opened: what is in them does not matter.
+        bucket = {name: name.split("_")[1].split(".")[0] for name in files}
+        of_seven = {bucket[name] for name, w in wells.items() if 7 in w}
+        assert len(of_seven) == 1 and len(set(bucket.values())) == 8
+        for name in files:
+            if bucket[name] not in of_seven:
+                (tmp_path / "table" / name).write_bytes(b"junk")
+        spark.sql("REFRESH TABLE borelog_wells")
+        assert spark.table("borelog_wells").where("well_number = 7").count() == one.count()
+        with pytest.raises(Exception):
+            spark.table("borelog_wells").collect()
+        write_table(rows.limit(5).drop("a"), "borelog_wells", str(tmp_path / "table"), buckets=8)
+        assert spark.table("borelog_wells").count() == 5 and spark.table("borelog_wells").columns == ["well_number", "timestamp"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        spark.sql("DROP TABLE IF EXISTS borelog_wells")
 
 
 def test_tree_reading(spark, raw_tree):

@@ -58,6 +58,26 @@ def test_split_is_exact_per_label(spark, n):
         assert r["sum(t)"] == int(r["count(1)"] * 0.2 + 0.5)
 
 
+def test_split_runs_nothing_while_it_is_planned(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS well_number", "CAST(id % 3 AS INT) AS state").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.schema("well_number bigint, state int").parquet(str(tmp_path / "rows"))
+    spark.sparkContext.setJobGroup("split", "planning a split")
+    split = stratified_split(rows, keys=("well_number",))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("split")
+    assert split.where("is_test").count() == 3 * 333
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    # Two passes over two narrow columns, then the rows; neither is shuffled by label.
+    assert plan.count("Relation [") == 3 and plan.count("strategy=broadcast") == 2
+    spark.sparkContext.setJobGroup("default", "")
+
+
+def test_split_of_too_many_labels(spark, monkeypatch):
+    monkeypatch.setattr("borelog.operators.splitting.BROADCAST_ROWS", 10)
+    rows = spark.range(1000).selectExpr("id AS well_number", "CAST(id % 11 AS INT) AS state")
+    with pytest.raises(Exception, match="at most 10 labels"):
+        stratified_split(rows, keys=("well_number",)).collect()
+
+
 def test_split_keeps_copies_together(spark):
     rows = spark.range(3000).selectExpr("IF(id < 1000, 0, id) AS well_number", "1 AS state")
     split = stratified_split(rows, keys=("well_number",))
