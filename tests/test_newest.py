@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,7 +141,6 @@ def test_sql_ranks_many_rows_of_a_well_in_parts(spark):
         found = spark.sql(f"SELECT * FROM latest_n_obs(n_obs_param => {n})")
         assert sorted(found.collect()) == sorted(latest_n_obs(rows, n=n).collect())
         plan = found._jdf.queryExecution().optimizedPlan().toString()
-        assert ("part#" in plan) == (n > 1000)
         windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
         # The rows pass the ranking in parts before the one of whole wells.
-        assert len(windows) == 2 and ("part#" in windows[1].split("windowspecdefinition(")[1]) == (n > 1000)
+        assert len(windows) == 2 and bool(re.search(r"\bpart#", windows[1])) == (n > 1000)
