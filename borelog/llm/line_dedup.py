@@ -124,7 +124,7 @@ def drop_from_filter(table: np.ndarray, keys) -> None:
 REFS, COUNTS, FILTERS = "key binary, id long", "key binary, owner long, refs long", "n_keys long, cells binary"
 MANIFEST = "version int, shard int, generation int, n_keys long, n_refs long, n_shards int, least int"
 # A key with more references than this share of all rows, of which there can be no more than this many, is broadcast.
-HOT_KEYS, HOT_REFS = 100_000, 10_000
+HOT_KEYS, HOT_REFS = 100_000, 1_000
 
 
 def _table(cells) -> np.ndarray:
