@@ -10,6 +10,7 @@ import functools
 import hashlib
 import json
 import re
+import sys
 
 import ahocorasick
 import numpy as np
@@ -25,7 +26,8 @@ WORD_END = "</w>"
 # Separators that str.split() takes for white space and the vocabulary's normaliser does not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 UNSPACED = re.compile(r"(?:[^\s]|[\x1c-\x1f])+")
-MEMO = 200_000
+# Bytes of a memo's generation, of an entry that it keeps and of what the dictionary adds to one; pairs of tokens kept.
+MEMO_BYTES, KEPT_BYTES, ENTRY_BYTES, PAIRS = 32 << 20, 1024, 100, 200_000
 
 
 @functools.cache
@@ -37,10 +39,14 @@ def byte_symbols() -> list[str]:
 
 
 class Memo:
-    """A bounded memo of two generations: the older one is forgotten when the younger is full."""
+    """A memo of bounded memory in two generations: the older one is forgotten when the younger is full.
 
-    def __init__(self, make, size: int = MEMO):
-        self.make, self.size, self.young, self.old = make, size, {}, {}
+    ``max_bytes`` bounds a generation by the size of its keys and values. What takes over KEPT_BYTES is not kept: long
+    pieces of unspaced text hardly ever come twice.
+    """
+
+    def __init__(self, make, max_bytes: int = MEMO_BYTES):
+        self.make, self.max_bytes, self.young, self.old, self.used = make, max_bytes, {}, {}, 0
 
     def __call__(self, key):
         value = self.young.get(key)
@@ -48,9 +54,13 @@ class Memo:
             value = self.old.get(key)
             if value is None:
                 value = self.make(key)
-            if len(self.young) >= self.size:
-                self.old, self.young = self.young, {}
+            size = sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
+            if size > KEPT_BYTES:
+                return value
+            if self.used + size > self.max_bytes:
+                self.old, self.young, self.used = self.young, {}, 0
             self.young[key] = value
+            self.used += size
         return value
 
 
@@ -127,7 +137,7 @@ class PrefixBPE:
         data = word.encode()
         symbols = "".join([self.inner[x] for x in data[:-1]]) + self.final[data[-1]]
         last, back, beside, found = [None] * len(symbols), [0] * len(symbols), self.beside, -1
-        if len(beside) > 1_000_000:
+        if len(beside) > PAIRS:
             beside.clear()
         for end, (length, token) in self.automaton.iter(symbols):
             if end == found:

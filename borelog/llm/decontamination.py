@@ -6,6 +6,7 @@ some block, so looking up every block with so many bits flipped finds all items
 by the weighted Jaccard similarity of the two bags of shingles.
 """
 
+import functools
 import itertools
 from collections import Counter
 
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from borelog.llm.shingles import windows, word_hashes
+from borelog.support import materialise
 
 WIDTH = 5
 BITS, BLOCKS, RADIUS = 64, 6, 22
@@ -121,36 +123,48 @@ class Benchmark:
                     best[item] = (*found, min(size, len(part)) + width - 1)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75, block_items: int = 5_000) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, percent: int = 75, block_items: int = 5_000, block_bytes: int = 8 << 20
+) -> DataFrame:
     """Passages of ``benchmark`` (item_id, text) in whole texts of ``docs`` (doc_id, text).
 
     A row per document and item with doc_id, item_id, similarity, start (first word of the best window) and n_words, where
     100 * common >= ``percent`` * union of the bags of five-word shingles; words are lower-cased in A-Z and end at ASCII
     white space. An item of fewer than five words is one shingle of its own length. A NULL or blank text on either side
     matches nothing; a NULL doc_id or item_id and repeated rows are kept; an empty table gives an empty result; other
-    columns are ignored. A window at the threshold lies outside the radius with a chance below 1 in 1000.
+    columns are ignored. A window at the threshold lies outside the radius with a chance below 1 in 1000. ``doc_id`` may
+    be of any type.
 
-    The items are the query set. They are searched in blocks of ``block_items``, one broadcast each, so that what a task
-    holds does not grow with them; documents are read once per block and not shuffled.
+    The items are the query set. They are searched in blocks of about ``block_items`` items and ``block_bytes`` bytes, or
+    a single longer item: a block is broadcast, the few rows that it finds are written, and it is released before the
+    next one is fetched, so neither the driver nor a task ever holds more than one. Documents are read once per block and
+    not shuffled.
     """
     spark, items = docs.sparkSession, benchmark.select("item_id", "text").where("text IS NOT NULL")
-    n_blocks = max(1, -(-items.count() // block_items))
+    n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    n_blocks = max(1, -(-n_items // block_items), -(-n_bytes // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    rows, result = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), None
-    for i in range(n_blocks):
-        given = spark.sparkContext.broadcast([(k, r.item_id, r.text) for k, r in enumerate(items.where(block == i).collect())])
+    rows, parts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), []
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
 
-        def search(batches, given=given):
+    def search(given):
+        def run(batches):
             bench = Benchmark([(k, text) for k, _, text in given.value])
             names = [item for _, item, _ in given.value]
             for batch in batches:
                 out = []
-                for doc_id, text in zip(batch.doc_id.astype("Int64"), batch.text):
+                for doc_id, text in zip(batch.doc_id.astype("Int64") if whole else batch.doc_id, batch.text):
                     for k, (similarity, start, n) in sorted(bench.search(text, percent).items()) if bench.groups else ():
                         out.append((doc_id, names[k], similarity, -start, n))
                 frame = pd.DataFrame(out, columns=["doc_id", "item_id", "similarity", "start", "n_words"])
-                yield frame.astype({"doc_id": "Int64", "item_id": "Int64"})
+                yield frame.astype({"item_id": "Int64"} | ({"doc_id": "Int64"} if whole else {}))
+
+        return run
 
-        part = rows.mapInPandas(search, "doc_id long, item_id long, similarity double, start long, n_words long")
-        result = part if result is None else result.unionByName(part)
-    return result
+    for i in range(n_blocks):
+        given = spark.sparkContext.broadcast([(k, r.item_id, r.text) for k, r in enumerate(items.where(block == i).collect())])
+        found = rows.mapInPandas(search(given), f"doc_id {kind}, item_id long, similarity double, start long, n_words long")
+        parts.append(materialise(found))
+        given.unpersist()
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -1,7 +1,8 @@
 """Near-duplicate groups: SuperMinHash signatures, bands, exact verification and union-find.
 
-Documents with equal shingle sets are one class with its smallest document as representative. Representatives whose
-signatures agree in a band share a bucket; the smallest of a bucket is its pivot, and all that share a pivot form a cell.
+Documents with equal shingle sets are one class, which has a number and one of its documents as representative.
+Representatives whose signatures agree in a band share a bucket; the class with the smallest number in a bucket is its
+pivot, and all that share a pivot form a cell.
 A cell is verified on full sets inside one task, in blocks of bounded size if it is large, and gives only the links that
 join its parts, never all pairs. The links of all cells are contracted to components.
 """
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from borelog.llm.shingles import MIX, scramble, shingle_set
+from borelog.llm.spread import spread_join
 from borelog.support import materialise, remove_folder, scratch_folder
 
 BANDS, ROWS = 32, 4
@@ -61,12 +63,17 @@ def band_hashes(registers: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
+def text_sha(text):
+    """The first half of a text's SHA-256, which with its doc_id tells a row from others; NULL counts as empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
+
+
 def _text(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return docs.select("doc_id", text_sha(F.col("text")).alias("sha"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def profiles(docs: DataFrame, pieces: int = 256) -> DataFrame:
-    """Per row of ``docs``: doc_id, size and digest of its shingle set (NULL if empty) and its band hashes."""
+    """Per row of ``docs``: doc_id, sha, size and digest of its shingle set (NULL if empty) and its band hashes."""
 
     def profile(batches):
         for batch in batches:
@@ -75,9 +82,9 @@ def profiles(docs: DataFrame, pieces: int = 256) -> DataFrame:
                 sets = [shingle_set(t) for t in part.text]
                 bands = band_hashes(superminhash(sets, BANDS * ROWS))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pd.DataFrame({"doc_id": part.doc_id.array, "n": [len(s) for s in sets], "digest": digests, "bands": list(bands)})
+                yield pd.DataFrame({"doc_id": part.doc_id.array, "sha": part.sha.array, "n": [len(s) for s in sets], "digest": digests, "bands": list(bands)})
 
-    return _text(docs).mapInPandas(profile, "doc_id long, n long, digest binary, bands array<long>")
+    return _text(docs).mapInPandas(profile, "doc_id long, sha binary, n long, digest binary, bands array<long>")
 
 
 # --- components -----------------------------------------------------------------------------------------------------
@@ -160,41 +167,50 @@ def _verify(percent: int):
 
 
 def near_groups(docs: DataFrame, percent: int = 75, block_shingles: int = 1 << 16) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, and sha as ``text_sha`` gives it.
 
     Documents are linked if 100 * common shingles >= ``percent`` * all shingles of both; words are lower-cased in A-Z and
     end at ASCII white space. A text with fewer than five words is one shingle; NULL, empty and blank texts have none and
     are linked with nothing. A document's component is the smallest doc_id it reaches. A row without doc_id is linked with
-    nothing and stays, with a NULL component; rows that repeat a doc_id are one document. An empty table gives an empty
-    result; other columns are ignored.
+    nothing and stays, with a NULL component. Rows that repeat a doc_id with another text are documents of their own: each
+    is linked by its own text, whatever the order of the rows. An empty table gives an empty result; other columns are
+    ignored.
 
     A pair at the threshold misses all bands with a chance of 5 in a million; what shares a band is compared exactly.
     ``block_shingles`` bounds the shingles that one task compares at a time.
     """
     within, across = _verify(percent)
     rows = materialise(profiles(docs))
-    classes = materialise(rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("id")))
-    reps = rows.join(classes, (rows.digest == classes.digest) & (rows.doc_id == classes.id)).select("id", "n", "bands")
+    n_rows = rows.count()
+    named = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
+        F.min(F.struct("doc_id", "sha")).alias("first"), F.count("*").alias("held")
+    )
+    # Numbers of classes stand in for documents from here on; written once, they stay what they are.
+    classes = materialise(named.select("digest", "first.doc_id", "first.sha", "held", F.monotonically_increasing_id().alias("id")))
+    reps = rows.join(classes.drop("held"), ["digest", "doc_id", "sha"]).select("id", "n", "bands")
     banded = reps.select("id", "n", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("held")).where("held > 1")
     cells = materialise(banded.join(buckets, "band").select("hub", "id", "n").distinct())
-    blocks = F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks")
-    sizes = cells.groupBy("hub").agg(blocks)
+    n_cells = cells.count()
+    sizes = materialise(cells.groupBy("hub").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"), F.count("*").alias("held")))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = materialise(cells.join(sizes, "hub").withColumn("block", block).drop("n"))
+    placed = materialise(spread_join(cells, sizes, "hub", n_cells).withColumn("block", block).drop("n", "held"))
     routes = placed.where("id <> hub").select("hub", "block", "id").unionByName(
         placed.where("id = hub").select("hub", F.explode(every).alias("block"), "id")
     )
+    whose = classes.select("id", "doc_id", "sha")
     # Merged at every size: a broadcast on small tables would hide how the plan grows.
-    texts = _text(docs).withColumnRenamed("doc_id", "id").hint("merge")
-    found = [materialise(routes.join(texts, "id").groupBy("hub", "block").applyInPandas(within, "a long, b long"))]
+    texts = _text(docs).hint("merge")
+    of_routes = lambda sent: sent.join(whose, "id").join(texts, ["doc_id", "sha"]).drop("doc_id", "sha")
+    found = [materialise(of_routes(routes).groupBy("hub", "block").applyInPandas(within, "a long, b long"))]
     joined = materialise(components(found[0]))
     large = placed.where("blocks > 1")
     part = joined.select("id", F.col("component").alias("part"))
-    members = large.join(part, "id", "left").withColumn("part", F.coalesce("part", "id"))
-    of_hub = members.where("id = hub").select("hub", F.col("part").alias("hub_part"))
-    members = materialise(members.join(of_hub, "hub").withColumn("mover", F.col("part") != F.col("hub_part")))
+    members = materialise(large.join(part, "id", "left").withColumn("part", F.coalesce("part", "id")))
+    of_hub = members.where("id = hub").select("hub", F.col("part").alias("hub_part")).join(sizes.select("hub", "held"), "hub")
+    members = spread_join(members, materialise(of_hub), "hub", n_cells).drop("held")
+    members = materialise(members.withColumn("mover", F.col("part") != F.col("hub_part")))
     movers = members.where("mover")
     if movers.limit(1).count():
         asking = movers.select("hub", F.col("block").alias("asks")).distinct()
@@ -202,10 +218,16 @@ def near_groups(docs: DataFrame, percent: int = 75, block_shingles: int = 1 << 1
         sent = sent.unionByName(
             members.join(asking, "hub").select("hub", "asks", F.col("block").alias("answers"), "id", "part", F.lit(False).alias("mover"))
         ).where("asks <> answers")
-        compared = sent.join(texts, "id").groupBy("hub", "asks", "answers").applyInPandas(across, "a long, b long")
-        found.append(materialise(compared))
+        found.append(materialise(of_routes(sent).groupBy("hub", "asks", "answers").applyInPandas(across, "a long, b long")))
         joined = materialise(components(reduce(DataFrame.unionByName, found)))
-    named = classes.join(joined, "id", "left").select("digest", F.coalesce("component", "id").alias("found"))
-    result = rows.select("doc_id", "n", "digest").join(named, "digest", "left")
+    # The smallest doc_id of a component, to its classes and from them to their documents.
+    of_class = classes.join(joined, "id", "left").select("digest", "doc_id", "held", F.coalesce("component", "id").alias("component"))
+    of_class = materialise(of_class)
+    smallest = of_class.groupBy("component").agg(F.min("doc_id").alias("found"), F.count("*").alias("classes"))
+    n_classes = of_class.count()
+    answers = spread_join(of_class.select("digest", "held", "component"), materialise(smallest), "component", n_classes, "classes")
+    answers = materialise(answers.select("digest", "held", "found"))
+    result = spread_join(rows.select("doc_id", "sha", "n", "digest"), answers, "digest", n_rows, left=True)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(component).alias("kept")
+    return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept, "sha")

@@ -50,7 +50,7 @@ def op5_toxicity(spark, sf_dir):
 
 
 def op6_minhash(spark, sf_dir):
-    return minhash.near_groups(documents(spark, sf_dir))
+    return minhash.near_groups(documents(spark, sf_dir)).drop("sha")
 
 
 def op7_quality(spark, sf_dir):

@@ -117,15 +117,23 @@ def train(texts, labels, buckets: int = 1 << 20, width: int = 4, epochs: int = 5
 def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int):
     """Texts and labels of at most ``max_rows`` labelled documents with at most ``max_chars`` characters in all.
 
-    Rows come in the order of a hash of doc_id, and of equal numbers in that of their text; texts are whole.
+    Rows come in the order of a hash of doc_id, and of equal numbers in that of their text; texts are whole. A text that
+    would go beyond ``max_chars`` is passed over, those after it are not. Raises ValueError if only one of both labels is
+    left by that.
     """
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     text = F.coalesce("text", F.lit("")).alias("text")
     rows = docs.select("doc_id", text).join(F.broadcast(marked), "doc_id")  # at most max_rows numbers
     order = (F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sizes = rows.orderBy(*order).select(F.length("text").alias("n"), "doc_id", F.xxhash64("text").alias("h")).limit(max_rows).toPandas()
-    fits = sizes[sizes.n.cumsum() <= max_chars]
+    sizes = rows.orderBy(*order).select(F.length("text").alias("n"), "doc_id", F.xxhash64("text").alias("h"), "toxic").limit(max_rows).toPandas()
+    taken, chosen = 0, []
+    for n in sizes.n:
+        chosen.append(taken + n <= max_chars)
+        taken += n if chosen[-1] else 0
+    fits = sizes[np.array(chosen, bool)]
+    if sizes.toxic.nunique() > fits.toxic.nunique():
+        raise ValueError(f"no text of one of the labels fits a sample of {max_chars} characters")
     few = docs.sparkSession.createDataFrame(fits[["doc_id", "h"]].drop_duplicates(), "doc_id long, h long")
     found = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(few), ["doc_id", "h"]).select("doc_id", "h", "text", "toxic").toPandas()
     found = found.sort_values(["doc_id", "h"])

@@ -1,9 +1,11 @@
+import sys
+
 import numpy as np
 import public_tokenizers
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from borelog.llm.bpe import PrefixBPE, encode_documents
+from borelog.llm.bpe import Memo, PrefixBPE, encode_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 OURS, THEIRS = PrefixBPE(open(PATH, encoding="utf-8").read()), Tokenizer.from_file(PATH)
@@ -38,3 +40,23 @@ def test_documents(frame):
     found = [(r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in encode_documents(frame(rows), PATH).collect()]
     assert sorted(found, key=repr) == sorted([(i, *expected(t)) for i, t in rows], key=repr)
     assert encode_documents(frame([]), PATH).collect() == []
+
+
+def test_memory_of_unspaced_texts():
+    """Texts without a space, each of its own, leave little behind; the memo's bound is one of bytes."""
+    made = []
+    memo = Memo(lambda key: made.append(key) or key.encode(), max_bytes=100_000)
+    for i in range(5000):
+        assert memo(f"word{i}") == f"word{i}".encode()
+    sizes = [sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in part.items()) for part in (memo.young, memo.old)]
+    assert max(sizes) <= 100_000 and len(memo.young) + len(memo.old) < 2000
+    memo("x" * 2000)
+    assert "x" * 2000 not in memo.young
+    before = len(made)
+    memo("word4999")
+    assert len(made) == before
+    own = PrefixBPE(open(PATH, encoding="utf-8").read())
+    for i in range(60):
+        text = "".join(chr(0x4E00 + (i * 7919 + j * 31) % 20_000) for j in range(20_000))
+        own.encode(text)
+    assert sum(len(k) for memo in (own.word, own.chunk) for part in (memo.young, memo.old) for k in part) < 100_000

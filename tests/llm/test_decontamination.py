@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from borelog.llm.decontamination import RADIUS, HammingIndex, find_leaks
 
@@ -55,11 +56,27 @@ def test_against_brute_force(spark, frame):
         rows.append((i, " ".join(words(rng.randint(0, 60)) + own + words(rng.randint(0, 60))).title()))
     rows += [(100, None), (101, ""), (102, " ".join(words(200))), (103, items[3][1])]
     benchmark = frame(items, "item_id")
-    for block_items in (5_000, 4):
-        found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in find_leaks(frame(rows), benchmark, block_items=block_items).collect()}
+    for bounds in ({}, {"block_items": 4}, {"block_bytes": 500}):
+        found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in find_leaks(frame(rows), benchmark, **bounds).collect()}
         assert found == brute(rows, items)
 
 
+def test_blocks_are_fetched_one_after_the_other_and_keys_are_of_any_type(spark, frame, monkeypatch):
+    """Many items by bytes; what a block finds is written before the next one is fetched."""
+    from borelog.llm import decontamination
+
+    order = []
+    write, send = decontamination.materialise, spark.sparkContext.broadcast
+    monkeypatch.setattr(decontamination, "materialise", lambda df: order.append("written") or write(df))
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: order.append(len(value)) or send(value))
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(40)]
+    rows = [(k, f"before {t} after") for k, t in items]
+    docs = frame(rows).withColumn("doc_id", F.unhex(F.md5(F.col("doc_id").cast("string"))))
+    found = find_leaks(docs, frame(items, "item_id"), block_bytes=1500)
+    assert found.count() == 40 and dict(found.dtypes)["doc_id"] == "binary"
+    assert order[1::2] == ["written"] * (len(order) // 2) and len(order) > 6 and sum(order[::2]) == 40 and max(order[::2]) < 20
+
+
 def test_place_short_items_nulls_and_long_texts(spark, frame):
     item = "one two three four five six seven eight nine ten"
     benchmark = frame([(1, item), (2, "just these"), (None, "four more words here")], "item_id")

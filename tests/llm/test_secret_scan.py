@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -46,3 +47,46 @@ def test_ledger_scans_only_unseen_pairs(spark):
     more = [*BASE_RULES, Rule("word", "clean")]
     assert scan(spark, [(2, "clean")], ledger, rules=more, rules_version="more-1") == [(2, "word:0:5")]
     assert ledger.read().groupBy("rules").count().count() == 2
+
+
+def test_work_grows_with_the_number_of_matches(spark):
+    """A text with sixteen times the matches takes no more than twice the time for each."""
+    def seconds(n):
+        rows = [(i, f"log {i} token=abcdef{i} and\n" * n) for i in range(8)]
+        began = time.perf_counter()
+        assert scan(spark, rows) == [(i, brute(t)) for i, t in rows]
+        return time.perf_counter() - began
+
+    seconds(200)
+    few, many = seconds(2000), seconds(32_000)
+    assert many < 2 * 16 * few
+
+
+def test_texts_of_known_blobs_are_not_shuffled(spark, monkeypatch):
+    """Without automatic broadcasts, the exchange that carries texts has the new ones only."""
+    from borelog.llm import secret_scan
+
+    ledger, rows = BlobLedger(spark), [(i, f"text {i} token=abcdef") for i in range(400)]
+    scan(spark, rows, ledger)
+    plans, blobs = [], secret_scan.scan_blobs
+    monkeypatch.setattr(secret_scan, "scan_blobs", lambda unseen, rules: plans.append(unseen) or blobs(unseen, rules))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        more = rows + [(1000 + i, f"new {i} secret=abcdef") for i in range(5)]
+        assert scan(spark, more, ledger) == sorted((i, brute(t)) for i, t in more)
+        unseen, = plans
+        assert unseen.count() == 5 and ledger.read().count() == 405
+        plan = unseen._jdf.queryExecution().optimizedPlan().toString()
+        aggregate, rest = plan.split("Aggregate [text", 1)
+        assert "LeftSemi" in rest and "strategy=broadcast" in rest and "LeftAnti" not in rest
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_many_new_blobs_over_a_filled_ledger(spark, monkeypatch):
+    monkeypatch.setattr("borelog.llm.secret_scan.FEW_BLOBS", 3)
+    ledger, rows = BlobLedger(spark), [(i, t) for i, t in enumerate(TEXTS)]
+    scan(spark, rows[:4], ledger)
+    assert scan(spark, rows + rows[2:5], ledger) == sorted((i, brute(t)) for i, t in rows + rows[2:5])
+    assert ledger.read().groupBy("blob").count().where("count > 1").isEmpty()

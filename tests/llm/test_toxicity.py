@@ -1,8 +1,10 @@
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from borelog.llm import toxicity
 
@@ -37,3 +39,33 @@ def test_edge_cases(spark, frame, labelled):
     found = toxicity.score(frame(rows), toxicity.fit(frame(rows), labels)).collect()
     assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
     assert toxicity.score(frame([]), toxicity.fit(frame([]), labels)).collect() == []
+
+
+def test_a_giant_text_does_not_end_the_sample(spark, frame):
+    """One labelled text is longer than the bound; the others are learnt from all the same."""
+    rng = random.Random(2)
+    word = lambda: rng.choice(["river", "stone", "cloud", "meadow"])
+    rows = [(i, " ".join(word() for _ in range(20)) + (" grumblefoot grumblefeet" if i % 3 == 0 else "")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    texts, _ = toxicity._sample(frame(rows), labels, 8000, 60_000)
+    first = min((r.h, r.doc_id) for r in frame(rows).join(labels, "doc_id").where(~toxicity.held_out()).select("doc_id", F.xxhash64("doc_id").alias("h")).collect())[1]
+    rows = [(i, "word " * 20_000 if i == first else t) for i, t in rows]
+    fewer, marks = toxicity._sample(frame(rows), labels, 8000, 60_000)
+    assert len(fewer) == len(texts) - 1 and set(marks) == {0, 1}
+    model = toxicity.fit(frame(rows), labels, max_chars=60_000)
+    scores = {r.doc_id: r.score for r in toxicity.score(frame(rows), model).collect()}
+    assert sum(scores[i] >= toxicity.THRESHOLD for i in range(0, 300, 3) if i != first) > 90
+    with pytest.raises(ValueError, match="no text of one of the labels"):
+        toxicity.fit(frame([(i, t * 1000 if i % 3 == 0 else t) for i, t in rows if i != first]), labels, max_chars=100_000)
+
+
+def test_scores_by_hand(spark, frame):
+    """The score of a text, from the table of n-gram rows alone, in plain loops."""
+    texts, marks = ["river stone cloud", "grumble river grumble", "stone stone", "meadow grumbles"], [0, 1, 0, 1]
+    table, bias = toxicity.train(texts * 10, marks * 10, epochs=3)
+    found = toxicity.score(frame(list(enumerate([*texts, "", "Grumble! GRUMBLE 12"]))), (table, bias)).collect()
+    for r, text in zip(sorted(found), [*texts, "", "Grumble! GRUMBLE 12"]):
+        words = sorted(set(re.findall(r"[a-z]+", text.lower())))
+        means = [np.mean([float(table[g]) for g in toxicity.ngrams(w, len(table))]) for w in words]
+        odds = bias + sum(means) / (len(words) + toxicity.PADDING)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-9)
