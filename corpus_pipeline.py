@@ -25,14 +25,15 @@ def drop_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group. Documents without doc_id stay."""
-    near = minhash.near_groups(docs).where("NOT kept").select(F.col("doc_id").alias("id"))
-    return docs.join(near, docs["doc_id"] == near["id"], "left_anti")
+    """The document with the smallest doc_id of each near-duplicate group. Rows are told apart by doc_id and text, and those without doc_id stay."""
+    near = minhash.near_groups(docs).where("NOT kept").select(F.col("doc_id").alias("id"), F.col("sha").alias("of_text")).distinct()
+    same = (docs["doc_id"] == near["id"]) & (minhash.text_sha(docs["text"]) == near["of_text"])
+    return docs.join(near, same, "left_anti")
 
 
 def drop_leaks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark. Rows are told apart by doc_id and text."""
-    row = F.xxhash64(docs["doc_id"], F.coalesce(docs["text"], F.lit("")))
+    """Documents without a passage of the benchmark. Rows are told apart by 128 bits of doc_id and text."""
+    row = F.unhex(F.md5(F.concat_ws(":", docs["doc_id"].cast("string"), F.hex(minhash.text_sha(docs["text"])))))
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontamination.find_leaks(docs.select(row.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("leak")).distinct()
     return docs.join(leaks, row == leaks["leak"], "left_anti")
