@@ -4,6 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from borelog.llm import exact_dedup as module, spread
 from borelog.llm.exact_dedup import build_index, directory, exact_dedup
 
 
@@ -42,8 +43,6 @@ def test_directory_splits_overfull_buckets_only(spark):
 
 
 def test_texts_that_share_a_key_form_a_chain(frame, monkeypatch):
-    from borelog.llm import exact_dedup as module
-
     plain = module.keyed
     monkeypatch.setattr(module, "keyed", lambda docs: plain(docs).withColumn("key", F.lit(5).cast("long")))
     rows = [(1, "a"), (2, "b"), (3, "a"), (4, "c")]
@@ -51,10 +50,42 @@ def test_texts_that_share_a_key_form_a_chain(frame, monkeypatch):
     assert [len(r.chain) for r in build_index(frame(rows)).collect()] == [3]
 
 
-def test_copies_are_merged_before_texts_are_shuffled(spark, frame, monkeypatch):
-    """Without broadcasts, as on large tables, every shuffle that carries texts has an aggregation right before it."""
-    from borelog.llm import exact_dedup as module
+def parts(rows, capacity):
+    """The pieces of an index over ``rows``: keys with their weights, and the directory."""
+    keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("text") + 64).alias("weight")).cache()
+    return keys, directory(keys, keys.count(), capacity).drop("held").cache()
+
+
+def test_copies_of_hot_texts_are_merged_before_texts_are_sent(frame, monkeypatch):
+    """A third of all rows, or the empty text, sends one row to its owner; its plan merges right before the shuffle."""
+    monkeypatch.setattr(module, "HOT_BYTES", 1000)
+    rows = module.keyed(frame([(i, ["hot", None, f"text {i}", "pair"][min(i % 3, 2) if i < 400 else 3]) for i in range(402)]))
+    sent = module.merged_texts(rows, parts(rows, 50)[0]).collect()
+    assert Counter(r.group_size for r in sent if r.text in ("hot", "")) == {134: 1, 133: 1}
+    assert len(sent) == 133 + 2 + 2 and sum(r.group_size for r in sent) == 402
+    assert [r.keep_id for r in sent if r.text == "hot"] == [399]
 
+
+def test_each_bucket_is_whole_in_the_task_that_owns_it(spark, frame):
+    rows = module.keyed(frame([(i, f"text {i % 900}") for i in range(1000)]))
+    keys, buckets = parts(rows, 50)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which would put so few rows into one task
+    try:
+        owners = module.routed(module.merged_texts(rows, keys), buckets).withColumn("task", F.spark_partition_id())
+        found = owners.select("depth", "prefix", "key", "task").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    tasks, held = {}, {}
+    for r in found:
+        assert r.depth == 0 or (r.key % 2**64) >> (64 - r.depth) == r.prefix
+        tasks.setdefault((r.depth, r.prefix), set()).add(r.task)
+        held.setdefault((r.depth, r.prefix), set()).add(r.key)
+    assert len(found) == 1000 and len(held) >= 18 and max(map(len, held.values())) <= 50
+    assert {len(t) for t in tasks.values()} == {1} and len(set.union(*tasks.values())) > 1
+
+
+def test_the_owner_groups_without_another_shuffle_of_texts(spark, frame, monkeypatch):
+    """Whole texts cross one shuffle to their owner; the only other one holds merged copies of hot texts."""
     plans, write = [], module.materialise
     monkeypatch.setattr(module, "materialise", lambda df: plans.append(df._jdf.queryExecution().executedPlan()) or write(df))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
@@ -75,10 +106,30 @@ def test_copies_are_merged_before_texts_are_shuffled(spark, frame, monkeypatch):
         found = [node] if node.nodeName() == "Exchange" else []
         return found + [x for child in below(node) for x in shuffles(child)]
 
-    carrying = [e for plan in plans for e in shuffles(plan) if "text#" in e.output().mkString(",")]
-    assert carrying
-    for node in carrying:
+    def first_work(node):
         child = below(node)[0]
         while child.nodeName().startswith("WholeStageCodegen"):
             child = below(child)[0]
-        assert "Aggregate" in child.nodeName()
+        return child.nodeName()
+
+    carrying = [e for plan in plans for e in shuffles(plan) if "text#" in e.output().mkString(",")]
+    by_bucket = [e for e in carrying if "(depth#" in e.outputPartitioning().toString()]
+    merging = [e for e in carrying if e not in by_bucket]
+    assert len(by_bucket) == len(merging) == 1 and "Aggregate" in first_work(merging[0])
+
+
+def test_the_directory_decides_where_a_text_is_compared(frame, monkeypatch):
+    """Without the bucket that owns a key, the copies of its texts are not found."""
+    rows = [(i, f"text {i % 50}") for i in range(100)]
+    whole = module.directory
+    monkeypatch.setattr(module, "directory", lambda *a: whole(*a).where("shiftrightunsigned(prefix, depth - 1) = 0"))
+    upper = {r.doc_id for r in module.keyed(frame(rows)).where("key < 0").collect()}
+    assert 0 < len(upper) < 100
+    assert {r.doc_id for r in exact_dedup(frame(rows), capacity=5).collect() if r.group_size == 1} == upper
+
+
+def test_rows_of_hot_texts_find_their_way_back(frame, monkeypatch):
+    monkeypatch.setattr(spread, "HOT_ROWS", 20)
+    monkeypatch.setattr(module, "HOT_BYTES", 100)
+    rows = [(i, None if i % 3 == 0 else f"text {i % 70}") for i in range(300)]
+    assert Counter(map(tuple, exact_dedup(frame(rows), capacity=10).collect())) == brute(rows)
