@@ -15,9 +15,9 @@ from borelog.support import materialise
 
 DOC = "doc_id"
 
-# A bucket of the default capacity is some tens of megabytes of texts. Beyond this many buckets they grow instead, so
+# A bucket of the default capacity is some megabytes of texts, small beside a task's share. Beyond this many buckets they grow instead, so
 # that the directory, which every task holds, has 16 times as many addresses at most: two million rows of three numbers.
-CAPACITY, MAX_BUCKETS = 4096, 1 << 17
+CAPACITY, MAX_BUCKETS = 1024, 1 << 17
 # Copies of one text that weigh less than this need no merging on the way.
 HOT_BYTES, ROW_BYTES = 4 << 20, 64
 
