@@ -2,9 +2,11 @@
 
 DataFrame operations only; a row is scanned where it lies, without a shuffle or a join. A text is cut into windows for
 each size class of the templates, each half as long again as the longest template of its class and starting every half
-template, so that every passage of a template's length lies whole in some window.
+template, so that every passage of a template's length lies whole in some window. Only windows with a phrase that every
+match must hold one of are hashed.
 """
 
+import itertools
 import json
 import math
 
@@ -14,7 +16,7 @@ WIDTH = 3
 CONTAINMENT = 0.8
 MISS = 1e-4
 
-# Notices and opening passages of public licenses.
+# Notices, opening passages and, where they are short, whole texts of public licenses.
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "mit-notice": "Released under the MIT License.",
@@ -53,6 +55,59 @@ TEMPLATES = {
         "following conditions are met"
     ),
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "agpl-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version."
+    ),
+    "epl-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
+        "and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+        "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES "
+        "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE."
+    ),
+    "bsd-3-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY "
+        "THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+        "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for "
+        "any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+        "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated "
+        "but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+        "the original software. 3. This notice may not be removed or altered from any source distribution."
+    ),
 }
 
 
@@ -65,22 +120,26 @@ def template_shingles(words: list[str]) -> list[str]:
 
 
 def anchors(templates: dict[str, str], containment: float) -> list[str]:
-    """Words one of which every match must hold.
+    """Phrases one of which every match must hold: more shingles of each template than a match may lack.
 
-    A match lacks fewer of a template's shingles than hold one of these words. Words in the most templates come first.
+    Phrases that serve another template come first, then those of the most letters, as long words are rare ones.
     """
-    shingles = {name: template_shingles(template_words(text)) for name, text in templates.items()}
-    chosen: list[str] = []
-    short = lambda s: sum(any(w in chosen for w in x.split()) for x in s) <= (1 - containment) * len(s) + 1e-9
-    while missing := [s for s in shingles.values() if short(s)]:
-        held = {}
-        for s in missing:
-            for w in {w for x in s for w in x.split()} - set(chosen):
-                held[w] = held.get(w, 0) + (sum(w in x.split() for x in s) / len(s)) * min(len(w), 8)
-        chosen.append(max(sorted(held), key=held.get))
+    chosen: set[str] = set()
+    for name in sorted(templates):
+        own = template_shingles(template_words(templates[name]))
+        enough = math.floor((1 - containment) * len(own) + 1e-9) + 1
+        chosen |= set(sorted(own, key=lambda s: (s not in chosen, -len(s), s))[:enough])
     return sorted(chosen)
 
 
+def anchor_pattern(phrases: list[str]) -> str:
+    """A regular expression that finds any of the phrases in a lowered text, grouped by their first letters."""
+    gap = lambda phrase: phrase.replace(" ", "[^a-z0-9]++")
+    groups = itertools.groupby(sorted(p for p in phrases if p), key=lambda p: p[0])
+    parts = [f"{first}(?:{'|'.join(gap(p[1:]) for p in same)})" for first, same in groups]
+    return f"(?<![a-z0-9])(?:{'|'.join(parts) or '(?!)'})(?![a-z0-9])"
+
+
 def size_classes(templates: dict[str, str]) -> dict[int, list[str]]:
     """Templates by the length in words of the longest of their class; a class spans at most a factor of two."""
     lengths = sorted((len(template_words(t)), name) for name, t in templates.items())
@@ -142,7 +201,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
     bands = bands_needed(containment, miss)
     known = _template_array(docs.sparkSession, templates, bands)
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    anchored = lowered.rlike(f"(?<![a-z0-9])(?:{'|'.join(anchors(templates, containment))})(?![a-z0-9])")
+    phrases = F.lit(anchor_pattern(anchors(templates, containment)))
     words = F.split(F.trim(F.regexp_replace(lowered, "[^a-z0-9]+", " ")), " ", -1)
     none = F.from_json(F.lit("[]"), "array<struct<name: string, containment: double, start: int>>")
 
@@ -169,8 +228,9 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
         rest = F.filter(best, lambda b: b["name"] != m["name"])
         return F.when(better, F.concat(rest, F.array(m))).otherwise(best)
 
-    rows = docs.select("doc_id", F.when(anchored, words).alias("words"))
+    rows = docs.select("doc_id", F.when(F.rlike(lowered, phrases), words).alias("words"))
     rows = rows.withColumn("windows", F.concat(*[windows(n) for n in size_classes(templates)]))
+    rows = rows.withColumn("windows", F.filter("windows", lambda w: F.rlike(F.array_join(w["words"], " "), phrases)))
     rows = rows.withColumn("windows", F.transform("windows", signed))
     rows = rows.withColumn("matches", F.filter(F.flatten(F.transform("windows", verified)), lambda m: m["containment"] >= containment))
     matches = F.array_sort(F.aggregate("matches", none, fullest))
