@@ -90,6 +90,11 @@ def profiles(docs: DataFrame, pieces: int = 256) -> DataFrame:
 # --- components -----------------------------------------------------------------------------------------------------
 
 
+def pairs(rows: DataFrame, *columns: tuple[str, str]) -> DataFrame:
+    """Rows (a, b) of several pairs of columns; ``rows`` is planned and computed once, not for each pair as a union would."""
+    return rows.select(F.inline(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in columns])))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Rows (id, component) for every number in ``links`` (a, b): the smallest number it is joined to, itself included.
 
@@ -105,13 +110,13 @@ def components(links: DataFrame) -> DataFrame:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = pairs(links, ("a", "b"), ("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         downward = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(downward, "a")
-        hung = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
+        hung = pairs(small, ("b", "m"), ("a", "m"))
         new = scratch_folder(spark)
         links = materialise(hung.where("a <> b").distinct(), new)
         remove_folder(spark, path)

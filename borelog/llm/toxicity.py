@@ -9,6 +9,7 @@ map fold into one number per n-gram, which is all that is broadcast.
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,10 +49,13 @@ class Features:
         for text in texts:
             words = [number.setdefault(w, len(number)) for w in sorted(distinct_words(text))]
             self.texts.append(np.array(words, np.int32))
-        rows = [np.array(ngrams(w, buckets), np.int32) for w in number]
-        self.sizes = np.array([len(r) for r in rows], np.int32)
-        self.starts = np.r_[0, np.cumsum(self.sizes)[:-1]].astype(np.int64) if rows else np.zeros(0, np.int64)
-        self.rows = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+        rows, sizes = array("i"), array("i")
+        for word in number:
+            of_word = ngrams(word, buckets)
+            rows.extend(of_word)
+            sizes.append(len(of_word))
+        self.sizes, self.rows = np.array(sizes, np.int32), np.array(rows, np.int32)
+        self.starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
 
 
 def _spread(starts, sizes):
@@ -114,12 +118,12 @@ def train(texts, labels, buckets: int = 1 << 20, width: int = 4, epochs: int = 5
     return (table @ (heads[1] - heads[0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int):
-    """Texts and labels of at most ``max_rows`` labelled documents with at most ``max_chars`` characters in all.
+def _sampled(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -> DataFrame:
+    """Rows (doc_id, h, text, toxic) of at most ``max_rows`` labelled documents with at most ``max_chars`` characters in all.
 
     Rows come in the order of a hash of doc_id, and of equal numbers in that of their text; texts are whole. A text that
     would go beyond ``max_chars`` is passed over, those after it are not. Raises ValueError if only one of both labels is
-    left by that.
+    left by that. Lengths and hashes reach the driver, texts do not.
     """
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
@@ -135,14 +139,35 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int):
     if sizes.toxic.nunique() > fits.toxic.nunique():
         raise ValueError(f"no text of one of the labels fits a sample of {max_chars} characters")
     few = docs.sparkSession.createDataFrame(fits[["doc_id", "h"]].drop_duplicates(), "doc_id long, h long")
-    found = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(few), ["doc_id", "h"]).select("doc_id", "h", "text", "toxic").toPandas()
+    return rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(few), ["doc_id", "h"]).select("doc_id", "h", "text", "toxic")
+
+
+def _ordered(found: pd.DataFrame):
     found = found.sort_values(["doc_id", "h"])
     return found.text.tolist(), found.toxic.tolist()
 
 
+def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int):
+    """The sample's texts and labels as lists."""
+    return _ordered(_sampled(docs, labels, max_rows, max_chars).toPandas())
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, max_chars: int = 40_000_000):
-    """Learn from ``labels`` (doc_id, toxic) of documents that are not held out, at most so many rows and characters."""
-    return train(*_sample(docs, labels, max_rows, max_chars))
+    """Learn from ``labels`` (doc_id, toxic) of documents that are not held out, at most so many rows and characters.
+
+    One task holds the sample and learns; the driver gets the model alone.
+    """
+
+    def learn(batches):
+        parts = list(batches)
+        table, bias = train(*_ordered(pd.concat(parts)) if parts else ([], []))
+        yield pd.DataFrame({"weights": [table.tobytes()], "bias": [bias]})
+
+    sample = _sampled(docs, labels, max_rows, max_chars).repartition(1)
+    learnt = sample.mapInPandas(learn, "weights binary, bias double").first()
+    if learnt is None:  # without a row Spark may leave the task out
+        return train([], [])
+    return np.frombuffer(learnt.weights, np.float32), learnt.bias
 
 
 def scorer(spark, model):

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from borelog.llm.minhash import components, near_groups, superminhash
+from borelog.llm.minhash import components, near_groups, pairs, superminhash
 from borelog.llm.spread import spread_join
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -106,3 +106,10 @@ def test_spread_join(spark, monkeypatch):
     assert found.count() == 4000 and found.where("held IS NULL").select("k").collect() == [(8,)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=broadcast") == 2
+
+
+def test_pairs_of_columns_come_from_one_pass(spark):
+    rows = spark.range(3).selectExpr("id AS a", "id + 10 AS b", "id + 20 AS m")
+    found = pairs(rows, ("b", "m"), ("a", "m"))
+    assert sorted(map(tuple, found.collect())) == [(0, 20), (1, 21), (2, 22), (10, 20), (11, 21), (12, 22)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Range (") == 1

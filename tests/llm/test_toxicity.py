@@ -69,3 +69,13 @@ def test_scores_by_hand(spark, frame):
         means = [np.mean([float(table[g]) for g in toxicity.ngrams(w, len(table))]) for w in words]
         odds = bias + sum(means) / (len(words) + toxicity.PADDING)
         assert r.score == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-9)
+
+
+def test_the_model_is_learnt_in_a_task(spark, frame, monkeypatch):
+    """The driver's process could not learn here; the task's model is the same to the last bit."""
+    rows = [(i, f"river stone {i} cloud" + (" grumblefoot" if i % 3 == 0 else "")) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    table, bias = toxicity.train(*toxicity._sample(frame(rows), labels, 8_000, 60_000))
+    monkeypatch.setattr(toxicity, "Features", None)
+    found = toxicity.fit(frame(rows), labels, max_chars=60_000)
+    assert table.any() and np.array_equal(found[0], table) and found[1] == bias
